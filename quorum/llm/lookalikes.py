@@ -180,5 +180,5 @@ def alike_pairs(canonical: DataFrame) -> DataFrame:
     rows = canonical.where(F.length(F.regexp_replace("canonical", r"\s", "")) > 0).select("doc_id", F.unhex(F.sha2("canonical", 256)).alias("g"), F.unhex(F.sha2("text", 256)).alias("h"))
     several = rows.groupBy("g", "h").agg(F.lit(1).alias("_")).groupBy("g").agg(F.count("_").alias("n")).where("n > 1").select("g")
     members = rows.join(several, "g", "left_semi")
-    a, b = members.toDF("id_1", "g", "h_1"), members.toDF("id_2", "g", "h_2")
+    a, b = (members.select("g", F.col("doc_id").alias(f"id_{i}"), F.col("h").alias(f"h_{i}")) for i in (1, 2))
     return a.join(b, "g").where("id_1 < id_2 AND h_1 <> h_2").select("id_1", "id_2").distinct()
