@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from quorum.plans import general
+from quorum.plans import drift, general
 
 FLAGSHIP = "p6_counts"
-PARTS = [general]
+PARTS = [general, drift]
 
 
 def queries() -> dict:
