@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quorum.operators import profile
 from quorum.operators import references as ref
 from quorum.operators import skew
 from quorum.session import table
@@ -12,6 +13,54 @@ from quorum.session import table
 DAY = "yyyy-MM-dd"
 
 
+# ---- problem 3: column-level data quality profile
+
+MOST = 1_000_000
+PROFILED = {
+    "zip_code_to_l2_district": ("loaded_at", [
+        profile.Profiled("zip_code", pattern=r"^[0-9]{5}$"), profile.Profiled("state_postal_code", pattern=r"^[A-Z]{2}$"), profile.Profiled("district_type"), profile.Profiled("district_name"),
+        profile.Profiled("voters_in_zip_district", True, low=1, high=MOST), profile.Profiled("voters_in_zip", True, low=1, high=MOST),
+    ]),
+    "districtstats": ("updated_at", [
+        profile.Profiled("district_id", pattern=r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"),
+        profile.Profiled("total_constituents", True, low=1, high=MOST), profile.Profiled("total_constituents_with_cell_phone", True, low=1, high=MOST),
+    ]),
+}
+
+
+def p3_profile(spark: SparkSession, d: str) -> DataFrame:
+    """The profile of both tables: base aggregates, those of the load before, and the classifier's figures."""
+    parts = [profile.profile_loads(table(spark, d, t), F.date_format(at, DAY), cols).withColumn("table_name", F.lit(t)) for t, (at, cols) in PROFILED.items()]
+    return parts[0].unionByName(parts[1])
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    parts = [
+        profile.findings(profile.profile_loads(table(spark, d, t), F.date_format(at, DAY), cols)).select(F.lit(t).alias("table_name"), "load_day", "column_name", "finding")
+        for t, (at, cols) in PROFILED.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def _p3_sql() -> str:
+    longs = []
+    for t, (at, cols) in PROFILED.items():
+        for c in cols:
+            bad = f"count(*) FILTER (WHERE NOT regexp_matches({c.name}, '{c.pattern}'))" if c.pattern else "0"
+            off = f"count(*) FILTER (WHERE {c.name} < {c.low} OR {c.name} > {c.high})" if c.number else "0"
+            med = f"quantile_disc({c.name}, 0.5)" if c.number else "NULL::BIGINT"
+            longs.append(f"SELECT '{t}' table_name, strftime({at}, '%Y-%m-%d') load_day, '{c.name}' column_name, count(*) n, count(*) - count({c.name}) nn, count(DISTINCT {c.name}) nd, {med} med, {off} off_range, {bad} off_pattern FROM {t} WHERE {at} IS NOT NULL GROUP BY 2")
+    return (
+        "WITH s AS (" + "\nUNION ALL ".join(longs) + """),
+b AS (SELECT *, lag(n) OVER w bn, lag(nn) OVER w bnn, lag(nd) OVER w bnd, lag(med) OVER w bmed FROM s WINDOW w AS (PARTITION BY table_name, column_name ORDER BY load_day))
+SELECT table_name, load_day, column_name, 'nulls' AS finding FROM b WHERE 10 * abs(nn * bn - bnn * n) > n * bn
+UNION ALL SELECT table_name, load_day, column_name, 'distinct' FROM b WHERE nd > 2 * bnd OR 2 * nd < bnd
+UNION ALL SELECT table_name, load_day, column_name, 'shift' FROM b WHERE med > 2 * bmed OR 2 * med < bmed
+UNION ALL SELECT table_name, load_day, column_name, 'range' FROM b WHERE off_range > 0
+UNION ALL SELECT table_name, load_day, column_name, 'pattern' FROM b WHERE off_pattern > 0"""
+    )
+
+
 # ---- problem 6: references to records that do not exist
 
 
@@ -98,8 +147,8 @@ UNION ALL SELECT 'state', s, count(*), count(DISTINCT v), max(t) FROM dv GROUP B
 
 
 def queries() -> dict:
-    return {"p6_found": p6_found, "p6_counts": p6_counts, "p7_by_key": p7_by_key}
+    return {"p3_found": p3_found, "p3_profile": p3_profile, "p6_found": p6_found, "p6_counts": p6_counts, "p7_by_key": p7_by_key}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p6_found": P6_FOUND_SQL, "p6_counts": P6_COUNTS_SQL, "p7_by_key": P7_BY_KEY_SQL}
+    return {"p3_found": _p3_sql(), "p6_found": P6_FOUND_SQL, "p6_counts": P6_COUNTS_SQL, "p7_by_key": P7_BY_KEY_SQL}
