@@ -2,19 +2,19 @@
 
 Labels become spokes to their least record. The component of the vertex of highest degree, the giant if there
 is one, is peeled off first by breadth-first joins of its frontier and taken away by an anti-join. The rest
-is labelled by propagating minima: every vertex points to its least neighbour, chains of pointers are
-shortened by doubling, and the edges are rewritten to the roots until none is left. That halves the
-vertices each round, so long chains need no more rounds than their logarithm.
+is labelled by propagating minima: in each round every vertex passes the least grandparent of its neighbours
+to itself and to its parent and takes over its own grandparent, so that long chains need no more rounds
+than about their logarithm. One job per frontier and round.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quorum.session import cut
 
-#: frontier joins of the first phase; a component that is deeper goes on in the second as one vertex
+#: frontier joins of the first phase; a component that is deeper goes on in the second with one label
 MOST_FRONTIERS = 12
 
 
@@ -33,47 +33,42 @@ def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
-def _peel(edges: DataFrame) -> tuple[DataFrame, bool] | None:
+def _counted(df: DataFrame, what: Column) -> tuple[DataFrame, int]:
+    """df written to the shared folder, and the sum of ``what``, counted in the same job."""
+    seen = Observation()
+    done = cut(df.observe(seen, F.coalesce(F.sum(what.cast("bigint")), F.lit(0)).alias("n")))
+    return done, seen.get["n"]
+
+
+def _peel(both: DataFrame) -> tuple[DataFrame, bool] | None:
     """The vertices found from the vertex of highest degree, one column v, and whether that is its whole component."""
-    top = _both_ways(edges).groupBy("a").agg(F.count(F.lit(1)).alias("n")).agg(F.max(F.struct(F.col("n"), F.col("a"))).alias("m")).first().m  # one row
+    top = both.groupBy("a").agg(F.count(F.lit(1)).alias("n")).agg(F.max(F.struct(F.col("n"), F.col("a"))).alias("m")).first().m  # one row
     if top is None:
         return None
-    seen = frontier = edges.sparkSession.createDataFrame([(top.a,)], "v string")
-    both = _both_ways(edges)
+    seen = frontier = both.sparkSession.createDataFrame([(top.a,)], "v string")
     for _ in range(MOST_FRONTIERS):
-        frontier = cut(both.join(frontier, F.col("a") == F.col("v"), "left_semi").select(F.col("b").alias("v")).distinct().join(seen, "v", "left_anti"))
-        if frontier.isEmpty():
+        reached = both.join(frontier, F.col("a") == F.col("v"), "left_semi").select(F.col("b").alias("v")).distinct()
+        frontier, n = _counted(reached.join(seen, "v", "left_anti"), F.lit(1))
+        if not n:
             return seen, True
         seen = seen.unionByName(frontier)
     return cut(seen), False
 
 
-def _to_roots(pointers: DataFrame) -> DataFrame:
-    """v, root: chains v -> p of pointers to smaller vertices, followed to their end by doubling."""
+def _propagate(both: DataFrame, labels: DataFrame) -> DataFrame:
+    """v, f: every vertex with the least vertex of its component. ``labels`` has a smaller or equal vertex f of the same component for each v."""
     while True:
-        q = pointers.select(F.col("v").alias("w"), F.col("root").alias("further"))
-        longer = cut(pointers.join(q, F.col("root") == F.col("w"), "left").select("v", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")))
-        if longer.where("moved").isEmpty():
-            return longer.select("v", "root")
-        pointers = longer.select("v", "root")
-
-
-def _propagate(edges: DataFrame) -> DataFrame:
-    """v, root for every vertex that is not the least of its component."""
-    found = None
-    while not edges.isEmpty():
-        least = _both_ways(edges).groupBy("a").agg(F.min("b").alias("b")).where("b < a")
-        step = _to_roots(cut(least.select(F.col("a").alias("v"), F.col("b").alias("root"))))
-        s = lambda n: step.select(F.col("v").alias(n), F.col("root").alias(f"r_{n}"))
-        moved = edges.join(s("a"), "a", "left").join(s("b"), "b", "left").select(F.coalesce("r_a", "a").alias("x"), F.coalesce("r_b", "b").alias("y")).where("x <> y")
-        edges = cut(moved.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
-        if found is None:
-            found = step
-        else:
-            later = step.select(F.col("v").alias("w"), F.col("root").alias("further"))
-            found = found.join(later, F.col("root") == F.col("w"), "left").select("v", F.coalesce("further", "root").alias("root")).unionByName(step)
-        found = cut(found)
-    return found if found is not None else edges.select(F.col("a").alias("v"), F.col("b").alias("root"))
+        up = labels.select(F.col("v").alias("p"), F.col("f").alias("g"))
+        grand = labels.join(up, F.col("f") == F.col("p")).select("v", "f", "g")
+        of_b = grand.select(F.col("v").alias("x"), F.col("g").alias("h"))
+        least = both.join(of_b, F.col("b") == F.col("x")).groupBy(F.col("a").alias("w")).agg(F.min("h").alias("m"))
+        told = grand.join(least, F.col("v") == F.col("w")).select("v", "f", F.least("f", "g", "m").alias("own"), "m")
+        pairs = told.select(F.explode(F.array(F.struct(F.col("v").alias("y"), F.col("own").alias("to"), F.col("f").alias("was")), F.struct(F.col("f").alias("y"), F.col("m").alias("to"), F.lit(None).cast("string").alias("was")))).alias("z"))
+        told = pairs.select("z.*").groupBy(F.col("y").alias("v")).agg(F.min("to").alias("to"), F.max("was").alias("was"))
+        labels, moved = _counted(told.select("v", F.least("to", "was").alias("f"), "was"), F.col("f") < F.col("was"))
+        labels = labels.select("v", "f")
+        if not moved:
+            return labels
 
 
 def connected_groups(members: DataFrame) -> DataFrame:
@@ -82,24 +77,18 @@ def connected_groups(members: DataFrame) -> DataFrame:
     ``members`` has id and label (strings), repeats allowed; null ids and labels link nothing, records that
     share no label give no row. An empty table gives no rows.
     """
-    edges = cut(spokes(members))
-    peeled = _peel(edges)
+    both = cut(_both_ways(spokes(members)))
+    peeled = _peel(both)
     if peeled is None:
-        return edges.select(F.col("a").alias("id"), F.col("b").alias("group_id"))
+        return both.select(F.col("a").alias("id"), F.col("b").alias("group_id"))
     seen, whole = peeled
-    low = seen.agg(F.min("v").alias("low"))  # one row
-    giant = seen.crossJoin(F.broadcast(low)).select("v", F.col("low").alias("root"))
+    low = seen.agg(F.min("v").alias("f"))  # one row
+    giant = seen.crossJoin(F.broadcast(low))
+    rest = both.join(seen, F.col("a") == F.col("v"), "left_anti") if whole else both
+    start = rest.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("f")).select("v", F.least("v", "f").alias("f"))
     if whole:
-        rest = edges.join(seen, F.col("a") == F.col("v"), "left_anti")
-        small = _propagate(cut(rest))
-        all_ = giant.where("v <> root").unionByName(small)
-    else:  # what was found so far goes on as edges to its least vertex
-        g = giant.select("v", "root")
-        inside = edges.join(g, F.col("a") == F.col("v"), "left").withColumnRenamed("root", "r_a").drop("v").join(g, F.col("b") == F.col("v"), "left").withColumnRenamed("root", "r_b").drop("v")
-        moved = inside.select(F.coalesce("r_a", "a").alias("x"), F.coalesce("r_b", "b").alias("y")).where("x <> y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
-        small = cut(_propagate(cut(moved)))
-        later = small.select(F.col("v").alias("w"), F.col("root").alias("further"))
-        all_ = giant.join(later, F.col("root") == F.col("w"), "left").select("v", F.coalesce("further", "root").alias("root")).where("v <> root").unionByName(small).distinct()
-    all_ = cut(all_)
-    roots = all_.select(F.col("root").alias("id"), F.col("root").alias("group_id")).distinct()
-    return all_.select(F.col("v").alias("id"), F.col("root").alias("group_id")).unionByName(roots)
+        found = _propagate(cut(rest), cut(start)).unionByName(giant)
+    else:  # too deep for the frontiers: what they found starts with one label
+        known = giant.withColumnRenamed("f", "low")
+        found = _propagate(both, cut(start.join(known, "v", "left").select("v", F.least("f", "low").alias("f"))))
+    return found.select(F.col("v").alias("id"), F.col("f").alias("group_id"))
