@@ -5,9 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorum.llm import components, lookalikes, mixing, tokens
+from quorum.llm import components, lookalikes, mixing, tokens, variants
 from quorum.session import cut, table
 
+# ---- problem 2: variant spellings of names typed by people
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return variants.pairs_of(*variants.same_person(table(spark, d, "dummy_data")))
+
+
 # ---- problem 4: consolidating pairwise matches into groups
 
 
@@ -79,8 +86,8 @@ def p10_canonical(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p4_found": p4_found, "p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_canonical": p10_canonical}
+    return {"p2_found": p2_found, "p4_found": p4_found, "p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_canonical": p10_canonical}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p4_found": P4_FOUND_SQL, "p8_decoded": P8_DECODED_SQL}
+    return {"p2_found": p2_found, "p4_found": P4_FOUND_SQL, "p8_decoded": P8_DECODED_SQL}
