@@ -90,8 +90,11 @@ class Vocabulary:
                     self._near.setdefault(k, []).append(n)
         # spellings of one name: within one edit, with a relative in common
         spellings = [(a, b) for names in self._near.values() for a in names for b in names if a != b and one_edit(a, b) and self.related.get(a, set()) & self.related.get(b, set())]
-        for a, b in spellings:
-            self.related[a].add(b)
+        inherited = {a: {b, *self.related[b]} - {a} for a, b in spellings}
+        for a, more in inherited.items():
+            self.related[a] |= more
+            for b in more:
+                self.related[b].add(a)
 
     def known(self, given: str) -> int:
         """How surely a text is a given name: 2 has a name, 1 a misspelled or abbreviated one, 0 neither."""
@@ -100,14 +103,13 @@ class Vocabulary:
             return 2
         return int(any(self.snap(w[1]) or (w[2] and len(w[1]) > 2 and self.spelled_by(w[1])) for w in words))
 
-    def snap(self, w: str) -> str | None:
-        """The vocabulary's name for a typed word: itself, or the most frequent within one edit (words of 4 letters or more)."""
+    def snap(self, w: str) -> list[str]:
+        """The vocabulary's names for a typed word: itself, or those within one edit (words of 4 letters or more)."""
         if w in self.count:
-            return w
+            return [w]
         if len(w) < 4:
-            return None
-        close = {n for k in near_keys(w) for n in self._near.get(k, ()) if one_edit(w, n)}
-        return max(close, key=lambda n: (self.count[n], n), default=None)
+            return []
+        return sorted({n for k in near_keys(w) for n in self._near.get(k, ()) if one_edit(w, n)})
 
     def spelled_by(self, short: str) -> list[str]:
         """Names that an abbreviation with a full stop can stand for: their beginning, or letters in order from first to last."""
@@ -186,18 +188,14 @@ def given_names(given: str, aliases: list[str], vocabulary: Vocabulary) -> tuple
 
     A part of initials alone has no forms.
     """
-    forms: list[str] = []
+    lead: list[str] = []
     for m in re.finditer(r"([a-z]+)(\.?)", given):
-        w, dot = m[1], m[2]
-        if len(w) > 1:
-            if dot and w not in vocabulary.count:
-                forms += vocabulary.spelled_by(w) or [w]
-            else:
-                forms.append(vocabulary.snap(w) or w)
-    quoted = re.findall(r"[\"(]\s*([a-z]+)", given)
-    lead = forms[:1] + [vocabulary.snap(w) or w for w in quoted if len(w) > 1]  # further words are middle names
-    own = [x for a in aliases for x in [fold(a)] if re.fullmatch("[a-z]{2,}", x)]
-    lead += [vocabulary.snap(x) or x for x in own]
+        if len(m[1]) > 1:  # further words are middle names
+            lead = (m[2] and m[1] not in vocabulary.count and vocabulary.spelled_by(m[1])) or vocabulary.snap(m[1]) or [m[1]]
+            break
+    others = [*re.findall(r"[\"(]\s*([a-z]{2,})", given), *(x for x in map(fold, aliases) if re.fullmatch("[a-z]{2,}", x))]
+    for x in others:
+        lead = lead + (vocabulary.snap(x) or [x])
     first = (_WORD.findall(given) or [""])[0][:1]
     forms = list(dict.fromkeys(lead))
     wider = sorted(set(forms).union(*(vocabulary.related.get(x, ()) for x in forms)))

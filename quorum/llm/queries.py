@@ -5,9 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorum.llm import components, lookalikes, mixing, tokens, variants
+from quorum.llm import components, lookalikes, matching, mixing, tokens, variants
 from quorum.session import cut, table
 
+# ---- problem 1: matching entities across sources without keys
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return matching.found(*matching.match_across_sources(table(spark, d, "dummy_data_elected"))).select("id_1", "id_2")
+
+
+def p1_confidence(spark: SparkSession, d: str) -> DataFrame:
+    """The matched pairs with their posteriors."""
+    return matching.found(*matching.match_across_sources(table(spark, d, "dummy_data_elected")))
+
+
 # ---- problem 2: variant spellings of names typed by people
 
 
@@ -86,8 +98,8 @@ def p10_canonical(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p2_found": p2_found, "p4_found": p4_found, "p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_canonical": p10_canonical}
+    return {"p1_found": p1_found, "p1_confidence": p1_confidence, "p2_found": p2_found, "p4_found": p4_found, "p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_canonical": p10_canonical}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": p2_found, "p4_found": P4_FOUND_SQL, "p8_decoded": P8_DECODED_SQL}
+    return {"p1_found": p1_found, "p1_confidence": p1_confidence, "p2_found": p2_found, "p4_found": P4_FOUND_SQL, "p8_decoded": P8_DECODED_SQL}
