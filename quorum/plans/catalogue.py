@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from quorum.plans import drift, general
+from quorum.plans import drift, general, relational
 
 FLAGSHIP = "p6_counts"
-PARTS = [general, drift]
+PARTS = [general, drift, relational]
 
 
 def queries() -> dict:
