@@ -7,12 +7,14 @@ import re
 import pandas as pd
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Words around and inside names.
 TITLES = {"dr", "mr", "mrs", "ms", "miss", "rev", "hon", "prof", "sir", "judge"}
 SUFFIXES = {"jr", "sr", "ii", "iii", "iv", "v", "phd", "md", "esq", "dds"}
 PARTICLES = {"de", "la", "del", "der", "den", "di", "da", "du", "le", "van", "von", "st", "saint", "bin", "al", "mc", "mac", "dos", "das"}
-SCHEMA = "title string, first string, middle string, last string, suffix string, nickname string"
+PARTS = ["title", "first", "middle", "last", "suffix", "nickname"]
+SCHEMA = StructType([StructField(p, StringType()) for p in PARTS])
 
 
 def parse(full: str | None) -> tuple[str | None, ...] | None:
@@ -45,7 +47,7 @@ def parse(full: str | None) -> tuple[str | None, ...] | None:
 @F.pandas_udf(SCHEMA)
 def parse_human_name(names: pd.Series) -> pd.DataFrame:
     none = (None,) * 6
-    return pd.DataFrame([parse(n) or none for n in names], columns=[c.split()[0] for c in SCHEMA.split(", ")])
+    return pd.DataFrame([parse(n) or none for n in names], columns=PARTS)
 
 
 def register(spark: SparkSession) -> None:

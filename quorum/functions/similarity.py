@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 PREFIX, WEIGHT, BOOST = 4, 0.1, 0.7
 
@@ -39,7 +40,7 @@ def jaro_winkler_of(a: str, b: str) -> float:
     return jaro + same * WEIGHT * (1 - jaro)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     known: dict[tuple[str, str], float] = {}
     out = []

@@ -36,7 +36,8 @@ def with_totals(df: DataFrame, keys: list[str], **aggregates: Column) -> DataFra
 def sessions_by_gap(df: DataFrame, user: str, at: str, seconds: int) -> DataFrame:
     """df with is_new (first row of a user, or more than ``seconds`` after the row before) and session_no from 1."""
     w = Window.partitionBy(user).orderBy(at)
-    gap = F.unix_micros(at) - F.unix_micros(F.lag(at).over(w))
+    micros = lambda c: F.unix_micros(c.cast("timestamp"))
+    gap = micros(F.col(at)) - micros(F.lag(at).over(w))
     new = df.withColumn("is_new", gap.isNull() | (gap > seconds * 1_000_000))
     return new.withColumn("session_no", F.sum(F.col("is_new").cast("int")).over(w.rangeBetween(Window.unboundedPreceding, 0)))
 
