@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, **conf:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.ui.enabled": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.driver.memory": os.environ.get("QUORUM_DRIVER_MEMORY", "8g"),
     } | conf
@@ -37,7 +40,9 @@ def shared_folder(spark: SparkSession) -> str:
     if not named:
         if not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        named = "file://" + tempfile.mkdtemp(prefix="quorum-checkpoint-")
+        folder = tempfile.mkdtemp(prefix="quorum-checkpoint-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        named = "file://" + folder
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(named)
     return named
