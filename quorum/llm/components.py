@@ -9,9 +9,10 @@ than about their logarithm. One job per frontier and round.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quorum.operators.graph import both_ways, cut_and_sum, propagate_minima
 from quorum.session import cut
 
 #: frontier joins of the first phase; a component that is deeper goes on in the second with one label
@@ -29,17 +30,6 @@ def spokes(members: DataFrame) -> DataFrame:
     return m.join(hub, "label").where(F.col("id") != F.col("hub")).select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
 
 
-def _both_ways(edges: DataFrame) -> DataFrame:
-    return edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-
-
-def _counted(df: DataFrame, what: Column) -> tuple[DataFrame, int]:
-    """df written to the shared folder, and the sum of ``what``, counted in the same job."""
-    seen = Observation()
-    done = cut(df.observe(seen, F.coalesce(F.sum(what.cast("bigint")), F.lit(0)).alias("n")))
-    return done, seen.get["n"]
-
-
 def _peel(both: DataFrame) -> tuple[DataFrame, bool] | None:
     """The vertices found from the vertex of highest degree, one column v, and whether that is its whole component."""
     top = both.groupBy("a").agg(F.count(F.lit(1)).alias("n")).agg(F.max(F.struct(F.col("n"), F.col("a"))).alias("m")).first().m  # one row
@@ -48,36 +38,20 @@ def _peel(both: DataFrame) -> tuple[DataFrame, bool] | None:
     seen = frontier = both.sparkSession.createDataFrame([(top.a,)], "v string")
     for _ in range(MOST_FRONTIERS):
         reached = both.join(frontier, F.col("a") == F.col("v"), "left_semi").select(F.col("b").alias("v")).distinct()
-        frontier, n = _counted(reached.join(seen, "v", "left_anti"), F.lit(1))
+        frontier, n = cut_and_sum(reached.join(seen, "v", "left_anti"), F.lit(1))
         if not n:
             return seen, True
         seen = seen.unionByName(frontier)
     return cut(seen), False
 
 
-def _propagate(both: DataFrame, labels: DataFrame) -> DataFrame:
-    """v, f: every vertex with the least vertex of its component. ``labels`` has a smaller or equal vertex f of the same component for each v."""
-    while True:
-        up = labels.select(F.col("v").alias("p"), F.col("f").alias("g"))
-        grand = labels.join(up, F.col("f") == F.col("p")).select("v", "f", "g")
-        of_b = grand.select(F.col("v").alias("x"), F.col("g").alias("h"))
-        least = both.join(of_b, F.col("b") == F.col("x")).groupBy(F.col("a").alias("w")).agg(F.min("h").alias("m"))
-        told = grand.join(least, F.col("v") == F.col("w")).select("v", "f", F.least("f", "g", "m").alias("own"), "m")
-        pairs = told.select(F.explode(F.array(F.struct(F.col("v").alias("y"), F.col("own").alias("to"), F.col("f").alias("was")), F.struct(F.col("f").alias("y"), F.col("m").alias("to"), F.lit(None).cast("string").alias("was")))).alias("z"))
-        told = pairs.select("z.*").groupBy(F.col("y").alias("v")).agg(F.min("to").alias("to"), F.max("was").alias("was"))
-        labels, moved = _counted(told.select("v", F.least("to", "was").alias("f"), "was"), F.col("f") < F.col("was"))
-        labels = labels.select("v", "f")
-        if not moved:
-            return labels
-
-
 def connected_groups(members: DataFrame) -> DataFrame:
     """id and group_id of every record linked with another; group_id is the least id of its component.
 
     ``members`` has id and label (strings), repeats allowed; null ids and labels link nothing, records that
     share no label give no row. An empty table gives no rows.
     """
-    both = cut(_both_ways(spokes(members)))
+    both = cut(both_ways(spokes(members)))
     peeled = _peel(both)
     if peeled is None:
         return both.select(F.col("a").alias("id"), F.col("b").alias("group_id"))
@@ -87,8 +61,8 @@ def connected_groups(members: DataFrame) -> DataFrame:
     rest = both.join(seen, F.col("a") == F.col("v"), "left_anti") if whole else both
     start = rest.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("f")).select("v", F.least("v", "f").alias("f"))
     if whole:
-        found = _propagate(cut(rest), cut(start)).unionByName(giant)
+        found = propagate_minima(cut(rest), cut(start)).unionByName(giant)
     else:  # too deep for the frontiers: what they found starts with one label
         known = giant.withColumnRenamed("f", "low")
-        found = _propagate(both, cut(start.join(known, "v", "left").select("v", F.least("f", "low").alias("f"))))
+        found = propagate_minima(both, cut(start.join(known, "v", "left").select("v", F.least("f", "low").alias("f"))))
     return found.select(F.col("v").alias("id"), F.col("f").alias("group_id"))

@@ -3,8 +3,8 @@
 Characters that show nothing are deleted and compatibility forms are folded. What remains ambiguous are
 letters that several scripts draw alike: every token (run of letters and marks) spans a lattice with all the
 letters it could be, and Viterbi's search takes the path that character bigrams of one script explain best.
-The lattice depends on how the token looks and on nothing else, so tokens that look the same get the same
-form, and tokens that look different cannot: a path keeps the look of every letter.
+The lattice and the script of the tokens before depend on how the text looks and on nothing else, so texts
+that look the same get the same form, and texts that look different cannot: a path keeps the look of every letter.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ SCRIPTS = ("LATIN", "GREEK", "CYRILLIC", "ARMENIAN", "CHEROKEE")
 MOST_BIGRAMS = 2_000_000
 #: tokens remembered by a task; beyond that it forgets all and goes on
 REMEMBERED = 400_000
-SMOOTHING, CHANGE_OF_SCRIPT = 0.1, -12.0
+SMOOTHING, CHANGE_OF_SCRIPT, OTHER_CONTEXT = 0.1, -12.0, -6.0
 
 _LOOK_OF = {ord(c): look[0] for look in LOOKS for c in look}
 _READINGS = {look[0]: look for look in LOOKS}
@@ -81,7 +81,8 @@ class Reader:
             self.first[a] += n
         self.alphabet = len({b for _, b in bigrams}) + 1
         self.scripts: dict[str, str] = {}
-        self.known: dict[str, str] = {}
+        self.own: dict[str, str] = {}
+        self.known: dict[tuple[str, str], str] = {}
 
     def _script(self, c: str) -> str:
         if c not in self.scripts:
@@ -92,11 +93,16 @@ class Reader:
         change = CHANGE_OF_SCRIPT if a and self._script(a) != self._script(b) else 0.0
         return change + log((self.pair.get((a, b), 0) + SMOOTHING) / (self.first.get(a, 0) + SMOOTHING * self.alphabet))
 
-    def read(self, token: str) -> str:
-        """The best reading of a token; ties go to the letter listed first."""
-        look = token.translate(_LOOK_OF)
-        if look in self.known:
-            return self.known[look]
+    def own_script(self, look: str) -> str:
+        """The script of the first letter that is drawn in one script only; '' if there is none."""
+        if look not in self.own:
+            self.own[look] = next((s for c in look if c not in _READINGS and (s := self._script(c))), "")
+        return self.own[look]
+
+    def read(self, look: str, context: str) -> str:
+        """The best reading of a token's look in a context of a script; ties go to the letter listed first."""
+        if (look, context) in self.known:
+            return self.known[look, context]
         best: dict[str, tuple[float, int]] = {"": (0.0, -1)}
         trail: list[list[tuple[str, int]]] = []
         for c in look:
@@ -106,7 +112,8 @@ class Reader:
                 continue
             for r in _READINGS.get(c, c):
                 top = max(range(len(before)), key=lambda i: before[i][1][0] + self._score(before[i][0], r))
-                now[r] = (before[top][1][0] + self._score(before[top][0], r), top)
+                odd = OTHER_CONTEXT if not trail and context and self._script(r) != context else 0.0
+                now[r] = (before[top][1][0] + self._score(before[top][0], r) + odd, top)
                 steps.append((r, top))
             best = now
             trail.append(steps)
@@ -119,11 +126,21 @@ class Reader:
             at = before_at
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        form = self.known[look] = "".join(reversed(out))
+            self.own.clear()
+        form = self.known[look, context] = "".join(reversed(out))
         return form
 
     def canonical(self, text: str) -> str:
-        return unicodedata.normalize("NFC", _TOKEN.sub(lambda m: self.read(m[0]), strip_and_fold(text)))
+        """The text with every token read in the script of the last token before it that has one of its own, at first of the first such token."""
+        looks = strip_and_fold(text).translate(_LOOK_OF)
+        context = next((s for m in _TOKEN.finditer(looks) if (s := self.own_script(m[0]))), "")
+
+        def form(m: re.Match) -> str:
+            nonlocal context
+            context = self.own_script(m[0]) or context
+            return self.read(m[0], context)
+
+        return unicodedata.normalize("NFC", _TOKEN.sub(form, looks))
 
 
 def bigram_counts(docs: DataFrame, text: Column) -> DataFrame:
