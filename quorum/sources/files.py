@@ -107,16 +107,16 @@ def publish(tables: dict[str, DataFrame], root: str, gates: dict[str, DataFrame]
         stream.close()
 
     put(f"{root}/{version}/manifest.json", json.dumps(manifest))
-    put(f"{root}/_next", version)
-    fs.delete(path(f"{root}/_live"), False)
-    fs.rename(path(f"{root}/_next"), path(f"{root}/_live"))
+    put(f"{root}/NEXT", version)
+    fs.delete(path(f"{root}/LIVE"), False)
+    fs.rename(path(f"{root}/NEXT"), path(f"{root}/LIVE"))
     return manifest
 
 
 def live_version(spark: SparkSession, root: str) -> str | None:
     """The version the pointer names; between the steps of a move, the next one."""
     fs, path = _file_system(spark, root)
-    for name in ("_live", "_next"):
+    for name in ("LIVE", "NEXT"):
         if fs.exists(path(f"{root}/{name}")):
             return spark.read.text(f"{root}/{name}").first().value
     return None
