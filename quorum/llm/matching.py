@@ -28,7 +28,7 @@ PLAIN_STEPS, CONSTRAINED_STEPS, MATCHED = 20, 3, 0.5
 LEG, VETO = 0.3, 0.05
 #: the patterns' number is bounded by the levels of the features
 MOST_PATTERNS = 20_000
-COMPARED = ["body", "seat", "forms", "wider", "letters", "email", "phone"]
+COMPARED = ["body", "seat", *variants.GIVEN, "email", "phone"]
 
 
 class Mixture:
@@ -62,7 +62,7 @@ def _classes(parts: DataFrame) -> tuple[DataFrame, DataFrame]:
     own = parts.where(F.col("surname") != "")
     for c in ("email", "phone"):
         own = own.join(common.select(F.col("contact").alias(f"_{c}")), F.col(c) == F.col(f"_{c}"), "left").withColumn(c, F.when(F.col(f"_{c}").isNull(), F.col(c))).drop(f"_{c}")
-    cols = ["source_name", "state", "place", "body", "seat", "surname", "surname_parts", "forms", "wider", "letters", "email", "phone"]
+    cols = ["source_name", "state", "place", "body", "seat", "surname", "surname_parts", *variants.GIVEN, "email", "phone"]
     member = cut(own.withColumn("cls", F.sha2(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}), 256)))
     return member.select("unique_id", "cls"), cut(member.groupBy("cls").agg(*[F.first(c).alias(c) for c in cols]))
 

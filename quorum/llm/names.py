@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: a first name is in the vocabulary if it heads this share of the alias lists, so there are at most 1 / SHARE names
-SHARE, LEAST_LISTS = 1 / 5000, 3
+SHARE, LEAST_LISTS = 1 / 5000, 2
 #: two names are related if this share of the lists headed by one has the other, so a name has at most 1 / RELATED partners
 RELATED = 0.03
 #: a name within one edit of one that is this much more frequent is its misspelling
@@ -124,7 +124,7 @@ class Vocabulary:
 def alias_counts(records: DataFrame) -> DataFrame:
     """head, other, n: how many alias lists begin with head and hold other (head itself for their number)."""
     plain = F.filter(F.transform(F.from_json("first_name_aliases", "array<string>"), lambda x: F.lower(F.translate(x, "áàâäãåéèêëíìîïóòôöõúùûüçñýÿğćčšž", "aaaaaaeeeeiiiiooooouuuucnyygccsz"))), lambda x: x.rlike("^[a-z]{2,}$"))
-    lists = records.select(F.array_distinct(plain).alias("l")).where(F.size("l") > 0)
+    lists = records.select("unique_id", "first_name_aliases").distinct().select(F.array_distinct(plain).alias("l")).where(F.size("l") > 0)
     return lists.select(F.get("l", F.lit(0)).alias("head"), F.explode("l").alias("other")).groupBy("head", "other").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -134,7 +134,7 @@ def learn_vocabulary(records: DataFrame) -> Vocabulary:
     heads = counts.where("head = other").select("head", F.col("n").alias("lists"))
     least = F.greatest(F.lit(LEAST_LISTS), F.coalesce(F.sum("lists"), F.lit(0)) * SHARE)
     named = heads.crossJoin(F.broadcast(heads.agg(least.alias("least")))).where("lists >= least").select("head", "lists")
-    pairs = counts.where("head <> other").join(named, "head").where(F.col("n") >= F.greatest(F.lit(2), F.col("lists") * RELATED)).join(named.select(F.col("head").alias("other")), "other", "left_semi")
+    pairs = counts.where("head <> other").join(named, "head").where(F.col("n") >= F.greatest(F.least(F.lit(2.0), F.col("lists") * 0.1), F.col("lists") * RELATED)).join(named.select(F.col("head").alias("other")), "other", "left_semi")
     count = {r.head: r.lists for r in named.collect()}
     related: dict[str, set[str]] = {}
     for r in pairs.select("head", "other").collect():
@@ -183,10 +183,17 @@ def split_name(first: str | None, last: str | None, vocabulary: Vocabulary) -> t
     return f, s
 
 
-def given_names(given: str, aliases: list[str], vocabulary: Vocabulary) -> tuple[list[str], list[str], list[str]]:
-    """(forms, wider, letters): names the given part stands for, with their relatives, and the letters they can begin with.
+def short_stem(x: str) -> str:
+    """What a familiar short form has in common with the full name: eddie -> ed, kenny -> ken, nick -> nic; '' if too little is left."""
+    s = re.sub(r"(?<=..)(?:ie|ey|y|i)$", "", x)
+    s = re.sub(r"(.)\1$", r"\1", s)
+    s = re.sub("ck$", "c", s)
+    return s if len(s) > 2 or len(x) == 2 or s != x and len(s) == 2 else ""
 
-    A part of initials alone has no forms.
+
+def given_names(given: str, aliases: list[str], vocabulary: Vocabulary) -> tuple[list[str], list[str], list[str], list[str], bool]:
+    """(forms, wider, letters, stems, initial): names the given part and the aliases stand for, with their relatives, the
+    letters they can begin with, the stems of forms that the vocabulary relates to nothing, and whether the part is initials alone.
     """
     lead: list[str] = []
     for m in re.finditer(r"([a-z]+)(\.?)", given):
@@ -199,7 +206,9 @@ def given_names(given: str, aliases: list[str], vocabulary: Vocabulary) -> tuple
     first = (_WORD.findall(given) or [""])[0][:1]
     forms = list(dict.fromkeys(lead))
     wider = sorted(set(forms).union(*(vocabulary.related.get(x, ()) for x in forms)))
-    return forms, wider, sorted({x[0] for x in wider} | ({first} if first and not forms else set()))
+    initial = bool(first) and all(len(w) == 1 for w in _WORD.findall(given))
+    stems = sorted({t for x in forms if not vocabulary.related.get(x) and (t := short_stem(x))})
+    return forms, wider, sorted({x[0] for x in wider} | ({first} if initial else set())), stems, initial
 
 
 def body_of(*texts: str | None) -> str:
@@ -242,7 +251,7 @@ def seat_of(identifier: str | None, office: str | None, raw: str | None) -> str:
     return ""
 
 
-PARTS = "unique_id string, source_name string, state string, place string, body string, seat string, surname string, surname_parts array<string>, forms array<string>, wider array<string>, letters array<string>, email string, phone string"
+PARTS = "unique_id string, source_name string, state string, place string, body string, seat string, surname string, surname_parts array<string>, forms array<string>, wider array<string>, letters array<string>, stems array<string>, initial boolean, email string, phone string"
 
 
 def parts_of_records(records: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -265,12 +274,12 @@ def parts_of_records(records: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                     aliases = []
                 key = surname_key(surname)
                 aliases = [a for a in aliases if surname_key(fold(a)) != key]
-                forms, wider, letters = given_names(given, aliases, vocabulary)
+                parts = given_names(given, aliases, vocabulary)
                 office = r["official_office_name"]
                 digits = re.sub(r"\D", "", r["phone"] or "")[-10:]
                 rows.append((
                     r["unique_id"], r["source_name"], r["state"] or "", place_of(r.get("city") or office) or place_of(office), body_of(office, r.get("candidate_office"), r.get("office_type")),
-                    seat_of(r.get("district_identifier"), office, r.get("district_raw")), key, surname_parts(surname), forms, wider, letters, (r["email"] or "").strip().lower() or None, digits if len(digits) == 10 else None,
+                    seat_of(r.get("district_identifier"), office, r.get("district_raw")), key, surname_parts(surname), *parts, (r["email"] or "").strip().lower() or None, digits if len(digits) == 10 else None,
                 ))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in PARTS.split(", ")])
 

@@ -16,7 +16,7 @@ from quorum.session import cut
 RADIUS = 2
 #: a contact used under more surnames than this is a placeholder
 SHARED = 3
-LEVELS = {"same": 3, "related": 2, "initial": 1}
+GIVEN = ["forms", "wider", "letters", "stems", "initial"]
 
 
 def snapped_places(parts: DataFrame) -> DataFrame:
@@ -33,13 +33,14 @@ def contacts(parts: DataFrame, key: str) -> DataFrame:
 
 
 def given_level(a: str, b: str) -> Column:
-    """How far the given names of two rows agree: 3 a common form, 2 related names, 1 no more than initials, 0 not at all."""
+    """How far the given names of two rows agree: 3 a common form, 2 related names or a short form, 1 no more than initials, 0 not at all."""
     x = lambda s, c: F.col(f"{s}_{c}")
-    none = (F.size(x(a, "forms")) == 0) | (F.size(x(b, "forms")) == 0)
+    begins = lambda s, t: F.exists(x(s, "stems"), lambda i: F.exists(x(t, "forms"), lambda f: f.startswith(i)))
     return (
         F.when(F.arrays_overlap(x(a, "forms"), x(b, "forms")), 3)
         .when(F.arrays_overlap(x(a, "forms"), x(b, "wider")) | F.arrays_overlap(x(b, "forms"), x(a, "wider")), 2)
-        .when(none & F.arrays_overlap(x(a, "letters"), x(b, "letters")), 1)
+        .when(begins(a, b) | begins(b, a), 2)
+        .when((x(a, "initial") | x(b, "initial")) & F.arrays_overlap(x(a, "letters"), x(b, "letters")), 1)
         .otherwise(0)
     )
 
@@ -53,11 +54,11 @@ def transposed(x: Column, y: Column) -> Column:
 
 def classes_of(parts: DataFrame) -> DataFrame:
     """parts with cls: equal for rows of one state, place, surname and given names."""
-    return parts.where(F.col("surname") != "").withColumn("cls", F.sha2(F.to_json(F.struct("state", "place", "surname", "surname_parts", "forms", "letters")), 256))
+    return parts.where(F.col("surname") != "").withColumn("cls", F.sha2(F.to_json(F.struct("state", "place", "surname", "surname_parts", "forms", "letters", "initial")), 256))
 
 
 def _sides(cls: DataFrame) -> tuple[DataFrame, DataFrame]:
-    cols = ["cls", "state", "place", "surname", "surname_parts", "n", "forms", "wider", "letters"]
+    cols = ["cls", "state", "place", "surname", "surname_parts", "n", *GIVEN]
     return tuple(cls.select(*[F.col(c).alias(f"{s}_{c}") for c in cols]) for s in "ab")
 
 
@@ -75,7 +76,7 @@ def named_keys(side: DataFrame, s: str) -> DataFrame:
 def links(cls: DataFrame, near: DataFrame, cls_contacts: DataFrame) -> DataFrame:
     """a_cls, b_cls: classes that name one person."""
     a, b = _sides(cls)
-    keep = ["a_cls", "b_cls", "a_surname", "b_surname", "a_n", "b_n", "a_forms", "b_forms", "a_wider", "b_wider", "distance", "level"]
+    keep = ["a_cls", "b_cls", "a_surname", "b_surname", "a_n", "b_n", "a_initial", "b_initial", "a_forms", "b_forms", "a_wider", "b_wider", "distance", "level"]
     level = given_level("a", "b")
     ka, kb = (named_keys(x, s) for x, s in ((a, "a"), (b, "b")))
     once = (F.col("a_cls") != F.col("b_cls")) & (F.col("a_full") | F.col("b_full")) & (level > 0)  # part of a compound against a whole surname only
@@ -88,9 +89,8 @@ def links(cls: DataFrame, near: DataFrame, cls_contacts: DataFrame) -> DataFrame
     sure = (F.col("level") >= 2) & ((F.col("distance") <= 1) | swapped | (whole & (F.least("a_n", "b_n") <= 1)))
     # initials alone: the named partners of a class must all be one name
     initial = pairs.where(whole & (F.col("level") == 1) & (F.col("distance") <= 1))
-    both = initial.select(F.col("a_cls").alias("i"), "a_forms", F.col("b_cls").alias("p"), "b_wider").where(F.size("a_forms") == 0).unionByName(
-        initial.select(F.col("b_cls").alias("i"), F.col("b_forms").alias("a_forms"), F.col("a_cls").alias("p"), F.col("a_wider").alias("b_wider")).where(F.size("a_forms") == 0)
-    )
+    one_way = lambda a, b: initial.where(f"{a}_initial").select(F.col(f"{a}_cls").alias("i"), F.col(f"{b}_cls").alias("p"), F.col(f"{b}_wider").alias("b_wider"))
+    both = one_way("a", "b").unionByName(one_way("b", "a"))
     named = both.where(F.size("b_wider") > 0).groupBy("i").agg(F.collect_set("b_wider").alias("w"))
     one = named.where(F.size(F.reduce("w", F.get("w", F.lit(0)), lambda x, y: F.array_intersect(x, y))) > 0).select("i")
     lone = both.join(one, "i").select(F.col("i").alias("a_cls"), F.col("p").alias("b_cls"))
@@ -116,7 +116,7 @@ def same_person(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     parts = cut(snapped_places(cut(names.parts_of_records(records, names.learn_vocabulary(records)))))
     member = cut(classes_of(parts))
-    cls = cut(member.groupBy("cls").agg(*[F.first(c).alias(c) for c in ("state", "place", "surname", "surname_parts", "forms", "wider", "letters")]))
+    cls = cut(member.groupBy("cls").agg(*[F.first(c).alias(c) for c in ("state", "place", "surname", "surname_parts", *GIVEN)]))
     often = cls.groupBy("state", "place", "surname").agg(F.count(F.lit(1)).alias("_c")).join(member.groupBy("state", "place", "surname").agg(F.count(F.lit(1)).alias("n")), ["state", "place", "surname"]).drop("_c")
     cls = cut(cls.join(often, ["state", "place", "surname"]))
     keys = cls.where("place <> ''").select(F.concat_ws("|", "state", "place").alias("grp"), F.explode(surname_keys("surname", "surname_parts")).alias("k"))
