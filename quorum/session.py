@@ -36,7 +36,7 @@ def shared_folder(spark: SparkSession) -> str:
     Only where that setting is absent and the master is local, as in tests, a temporary folder is made.
     """
     sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
         if not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
