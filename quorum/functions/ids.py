@@ -31,3 +31,10 @@ def household_hash(*fields: str) -> Column:
 def decode_base64_id(c: Column) -> Column:
     """The text in a base64-wrapped id; what is no base64 gives null."""
     return F.decode(F.try_to_binary(c, F.lit("base64")), "utf-8")
+
+
+def election_id(office: str, candidate_office: str, level: str, kind: str, state: str, city: Column, district: Column, seat: str, date: str, special: Column, seats: Column) -> Column:
+    """One id for an office's election in a year; a special election in that year has another. Null parts count as ''."""
+    empty = lambda c: F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(""))
+    year = F.concat(empty(F.year(date)), F.when(F.coalesce(special, F.lit(False)), "_special").otherwise(""))
+    return salted_uuid(*map(empty, (office, candidate_office, level, kind, state, city, district, seat)), year, empty(seats))

@@ -251,6 +251,12 @@ def salted_ids(spark: SparkSession, d: str) -> DataFrame:
     return orders(spark, d).select("o_orderkey", ids.salted_uuid("o_orderkey", "o_orderstatus").alias("id"))
 
 
+def election_ids(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "election_stage_input")
+    made = ids.election_id("official_office_name", "candidate_office", "office_level", "office_type", "state", F.lit(None), F.col("district_identifier"), "seat_name", "election_date", F.col("is_special"), F.lit(None))
+    return e.select("unique_id", made.alias("election_id")).distinct()
+
+
 def slugs(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "election_stage_input").select("unique_id", "official_office_name", "state").distinct()
     return e.select("unique_id", text.slugify("official_office_name", "state").alias("slug")).distinct()
@@ -419,7 +425,7 @@ PLANS = [
     group_agg, count_distinct_conditional, conditional_agg, bool_rollup, max_by_fallback, mode_deterministic, collect_sorted_structs, percentile_iqr_outliers, rollup_all_label, safe_ratio, bucket_histogram,
     mass_allocation, majority_membership, rss_margin, wilson_interval, count_once, metric_simple, metric_cumulative, ranked_pick, topk_per_group, window_totals, first_value_ignore_nulls, sessionize_gap,
     window_collect_union, sibling_resolution, trailing_window_flags, tumbling_week, unpivot, stack_reshape, unpivot_dynamic, pivot_conditional, incremental_watermark, incremental_per_key, affected_key_recompute,
-    version_fingerprint, scd2_snapshot, mint_canonical_id, salted_ids, slugs, text_normalization, office_match_keys, district_parts, election_days, stage_depths, json_fields, tri_state_gate, multi_format_dates,
+    version_fingerprint, scd2_snapshot, mint_canonical_id, salted_ids, election_ids, slugs, text_normalization, office_match_keys, district_parts, election_days, stage_depths, json_fields, tri_state_gate, multi_format_dates,
     deidentified, human_names, connected_components, record_linkage, similarity_scores, interval_bounds, waterfall_scoring, state_as_of, scalar_if_unambiguous, fail_closed_resolution, share_projection, geo_slugs, canonical_crosswalk,
 ]
 

@@ -74,6 +74,9 @@ SQL: dict[str, str] = {
         f AS (SELECT person, first(unique_id ORDER BY seen, unique_id) AS anchor, md5(first(unique_id ORDER BY seen, unique_id) || 'canonical') AS h FROM e GROUP BY 1)
         SELECT person, anchor, concat_ws('-', h[1:8], h[9:12], h[13:16], h[17:20], h[21:32]) AS canonical_id FROM f""",
     "salted_ids": """WITH x AS (SELECT o_orderkey, md5(o_orderkey || 'salt_string-' || o_orderstatus || 'salt_string') AS h FROM orders) SELECT o_orderkey, concat_ws('-', h[1:8], h[9:12], h[13:16], h[17:20], h[21:32]) AS id FROM x""",
+    "election_ids": """WITH x AS (SELECT unique_id, md5(array_to_string(list_transform([official_office_name, candidate_office, office_level, office_type, state, '', district_identifier, seat_name,
+        coalesce(year(election_date)::VARCHAR, '') || CASE WHEN is_special THEN '_special' ELSE '' END, ''], lambda v: coalesce(v, '') || 'salt_string'), '-')) AS h FROM election_stage_input)
+        SELECT DISTINCT unique_id, concat_ws('-', h[1:8], h[9:12], h[13:16], h[17:20], h[21:32]) AS election_id FROM x""",
     "slugs": r"""SELECT DISTINCT unique_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(trim(concat_ws('-', official_office_name, state))), '[^a-z0-9\s/-]', '', 'g'), '\s+', '-', 'g'), '-{2,}', '-', 'g'), '/{2,}', '-', 'g'), '-/') AS slug FROM election_stage_input""",
     "text_normalization": r"""SELECT DISTINCT unique_id, CASE WHEN trim(coalesce(party, '')) = '' THEN NULL WHEN party ILIKE '%independent%' THEN 'Independent' WHEN party ILIKE '%nonpartisan%' THEN 'Nonpartisan' WHEN party ILIKE '%democrat%' THEN 'Democrat'
         WHEN party ILIKE '%republican%' THEN 'Republican' WHEN party ILIKE '%libertarian%' THEN 'Libertarian' WHEN party ILIKE '%green%' THEN 'Green' ELSE 'Other' END AS party,

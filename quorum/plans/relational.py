@@ -45,6 +45,9 @@ SAME_TEXT: dict[str, str] = {
     "union_distinct": """SELECT c_nationkey AS nation FROM {customer} UNION SELECT s_nationkey FROM {supplier}""",
     "set_difference": """(SELECT o_custkey AS custkey FROM {orders} WHERE o_orderstatus = 'O' INTERSECT SELECT o_custkey FROM {orders} WHERE o_orderstatus = 'F') EXCEPT SELECT o_custkey FROM {orders} WHERE o_orderstatus = 'P'""",
     "having": """SELECT o_custkey, count(*) AS n, round(sum(o_totalprice), 2) AS spent FROM {orders} GROUP BY o_custkey HAVING count(*) >= 12 AND max(o_totalprice) > 100000""",
+    "grouping_sets": """SELECT o_orderstatus, o_orderpriority, CAST(grouping(o_orderstatus) AS INT) AS all_statuses, CAST(grouping(o_orderpriority) AS INT) AS all_priorities, count(*) AS n
+        FROM {orders} GROUP BY CUBE (o_orderstatus, o_orderpriority)""",
+    "rollup_totals": """SELECT l_returnflag, l_linestatus, count(*) AS n, round(sum(l_quantity), 2) AS quantity FROM {lineitem} GROUP BY ROLLUP (l_returnflag, l_linestatus)""",
     "explode_array": """SELECT unique_id, count(*) AS n_labels FROM (SELECT unique_id, label FROM {election_stage_input} CROSS JOIN LATERAL_EXPLODE) AS x WHERE label IS NOT NULL GROUP BY unique_id""",
 }
 ONLY_SPARK_TEXT = {"explode_array": ("CROSS JOIN LATERAL_EXPLODE", "LATERAL VIEW explode(from_json(matched_candidacy_stage_clusters, 'array<string>')) e AS label")}

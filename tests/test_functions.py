@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quorum.functions import civic, ids, names, numbers, similarity, text
+from quorum.functions import civic, columns, ids, names, numbers, similarity, text
 
 
 def column(spark, values, kind, expr):
@@ -117,3 +117,13 @@ def test_jaro_winkler_equals_duckdb(a, b):
         want = duckdb.execute("SELECT jaro_winkler_similarity(?, ?)", [a, b]).fetchone()[0]
         assert similarity.jaro_winkler_of(a, b) == pytest.approx(want, abs=1e-9)
     assert similarity.jaro_winkler_of(a, b) == pytest.approx(similarity.jaro_winkler_of(b, a), abs=0.08)
+
+
+def test_column_policies(spark):
+    df = spark.createDataFrame([(1, "a", "b", "c")], "id int, name string, phone string, fresh string")
+    family = {"id": "key", "name": "person", "phone": "contact"}
+    assert columns.in_families(df, family, ["key", "person"]) == ["id", "name"]
+    assert columns.excluding(df, family, ["contact"]) == ["id", "name"]
+    assert columns.matching(df, "(General|fre).*") == ["fresh"]
+    other = spark.createDataFrame([("1", "a")], "id string, name string")
+    assert columns.compare_schemas({"x": df, "y": other}) == [("fresh", "missing", ["y"]), ("id", "type int, string", ["x", "y"]), ("phone", "missing", ["y"])]
