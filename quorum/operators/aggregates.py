@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quorum.operators.windows import with_totals
+
 
 def mode_of(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """keys, mode_value, mode_count: the most frequent non-null value, the smaller one of ties."""
@@ -27,8 +29,8 @@ def with_percent(counts: DataFrame, key: str, name: str) -> DataFrame:
 
 def allocate_mass(parts: DataFrame, whole: str, weight: str, magnitude: str) -> DataFrame:
     """parts with share and allocated: the magnitude of their whole in proportion to their weight, conserving its sum. A whole of zero weight allocates nothing."""
-    total = F.sum(weight).over(Window.partitionBy(whole))
-    return parts.withColumn("share", F.try_divide(F.col(weight).cast("double"), total.cast("double"))).withColumn("allocated", F.col("share") * F.col(magnitude))
+    known = with_totals(parts, [whole], __total=F.sum(weight))
+    return known.withColumn("share", F.try_divide(F.col(weight).cast("double"), F.col("__total").cast("double"))).withColumn("allocated", F.col("share") * F.col(magnitude)).drop("__total")
 
 
 def majority(df: DataFrame, unit: list[str], group: str, least: float = 0.5) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,8 +31,14 @@ def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int) -> DataFr
 
 
 def with_totals(df: DataFrame, keys: list[str], **aggregates: Column) -> DataFrame:
-    w = Window.partitionBy(*keys)
-    return df.withColumns({n: a.over(w) for n, a in aggregates.items()})
+    """df with aggregates over the rows of its key (null is a key too).
+
+    An aggregate that is combined before the shuffle and joined back, not a window: a hot key is never one
+    task, as adaptive execution splits skewed joins.
+    """
+    totals = df.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(*[a.alias(n) for n, a in aggregates.items()])
+    on = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    return df.join(totals, on).drop(*[f"__{k}" for k in keys])
 
 
 def sessions_by_gap(df: DataFrame, user: str, at: str, seconds: int) -> DataFrame:

@@ -47,6 +47,13 @@ def test_latest_by_struct_equals_window(spark):
     assert rows(a) == rows(b)
 
 
+def test_totals_keep_null_keys(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), (None, 5), (None, None)], "k string, v int")
+    got = windows.with_totals(df, ["k"], total=F.sum("v"), n=F.count(F.lit(1)))
+    assert rows(got) == sorted([("a", 1, 3, 2), ("a", 2, 3, 2), (None, 5, 5, 2), (None, None, 5, 2)], key=str)
+    assert got.columns == ["k", "v", "total", "n"]
+
+
 def test_sessions(spark):
     at = [ts("2024-01-01 00:00:00"), ts("2024-01-01 00:00:30"), ts("2024-01-01 00:01:01")]
     df = spark.createDataFrame([("u", t) for t in at], "u string, t timestamp")
