@@ -63,7 +63,7 @@ def _classes(parts: DataFrame) -> tuple[DataFrame, DataFrame]:
     for c in ("email", "phone"):
         own = own.join(common.select(F.col("contact").alias(f"_{c}")), F.col(c) == F.col(f"_{c}"), "left").withColumn(c, F.when(F.col(f"_{c}").isNull(), F.col(c))).drop(f"_{c}")
     cols = ["source_name", "state", "place", "body", "seat", "surname", "surname_parts", *variants.GIVEN, "email", "phone"]
-    member = cut(own.withColumn("cls", F.sha2(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}), 256)))
+    member = cut(own.withColumn("cls", variants.digest(*cols)))
     return member.select("unique_id", "cls"), cut(member.groupBy("cls").agg(*[F.first(c).alias(c) for c in cols]))
 
 

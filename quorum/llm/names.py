@@ -261,7 +261,9 @@ def parts_of_records(records: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """
     optional = [c for c in ("city", "office_type", "candidate_office", "district_raw", "district_identifier") if c in records.columns]
     cols = ["source_name", "state", "first_name", "last_name", "first_name_aliases", "official_office_name", "email", "phone", *optional]
-    once = records.where(F.col("unique_id").isNotNull()).groupBy("unique_id").agg(F.min(F.struct(*cols)).alias("r")).select("unique_id", "r.*")
+    # a fixed number of partitions, else few tasks would parse all the names of a small table
+    parts = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    once = records.where(F.col("unique_id").isNotNull()).select("unique_id", *cols).repartition(parts, "unique_id").groupBy("unique_id").agg(F.min(F.struct(*cols)).alias("r")).select("unique_id", "r.*")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:

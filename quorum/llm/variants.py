@@ -52,9 +52,14 @@ def transposed(x: Column, y: Column) -> Column:
     return (F.length(x) == F.length(y)) & (F.size(odd) == 2) & (F.get(odd, F.lit(0)) == F.reverse(F.get(odd, F.lit(1))))
 
 
+def digest(*cols: str) -> Column:
+    """24 characters that differ if a column differs; null differs from ''."""
+    return F.base64(F.unhex(F.md5(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}))))
+
+
 def classes_of(parts: DataFrame) -> DataFrame:
     """parts with cls: equal for rows of one state, place, surname and given names."""
-    return parts.where(F.col("surname") != "").withColumn("cls", F.sha2(F.to_json(F.struct("state", "place", "surname", "surname_parts", "forms", "letters", "initial")), 256))
+    return parts.where(F.col("surname") != "").withColumn("cls", digest("state", "place", "surname", "surname_parts", "forms", "letters", "initial"))
 
 
 def _sides(cls: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -76,21 +81,20 @@ def named_keys(side: DataFrame, s: str) -> DataFrame:
 def links(cls: DataFrame, near: DataFrame, cls_contacts: DataFrame) -> DataFrame:
     """a_cls, b_cls: classes that name one person."""
     a, b = _sides(cls)
-    keep = ["a_cls", "b_cls", "a_surname", "b_surname", "a_n", "b_n", "a_initial", "b_initial", "a_forms", "b_forms", "a_wider", "b_wider", "distance", "level"]
     level = given_level("a", "b")
     ka, kb = (named_keys(x, s) for x, s in ((a, "a"), (b, "b")))
     once = (F.col("a_cls") != F.col("b_cls")) & (F.col("a_full") | F.col("b_full")) & (level > 0)  # part of a compound against a whole surname only
     same = ka.join(kb, (F.col("a_grp") == F.col("b_grp")) & (F.col("a_key") == F.col("b_key")) & (F.col("a_cls") < F.col("b_cls")) & once).withColumn("distance", F.lit(0))
     met = near.join(ka, (F.col("grp") == F.col("a_grp")) & (F.col("name_a") == F.col("a_key"))).join(kb, (F.col("grp") == F.col("b_grp")) & (F.col("name_b") == F.col("b_key")) & once)
-    keep = [*keep, "a_key", "b_key", "a_full", "b_full"]
+    keep = ["a_cls", "b_cls", "a_n", "b_n", "a_initial", "b_initial", "a_key", "b_key", "a_full", "b_full", "distance", "level"]
     pairs = cut(same.withColumn("level", level).select(keep).unionByName(met.withColumn("level", level).select(keep)))
     whole = F.col("a_full") & F.col("b_full")
     swapped = transposed(F.col("a_key"), F.col("b_key"))
     sure = (F.col("level") >= 2) & ((F.col("distance") <= 1) | swapped | (whole & (F.least("a_n", "b_n") <= 1)))
     # initials alone: the named partners of a class must all be one name
     initial = pairs.where(whole & (F.col("level") == 1) & (F.col("distance") <= 1))
-    one_way = lambda a, b: initial.where(f"{a}_initial").select(F.col(f"{a}_cls").alias("i"), F.col(f"{b}_cls").alias("p"), F.col(f"{b}_wider").alias("b_wider"))
-    both = one_way("a", "b").unionByName(one_way("b", "a"))
+    one_way = lambda a, b: initial.where(f"{a}_initial").select(F.col(f"{a}_cls").alias("i"), F.col(f"{b}_cls").alias("p"))
+    both = one_way("a", "b").unionByName(one_way("b", "a")).join(cls.select(F.col("cls").alias("p"), F.col("wider").alias("b_wider")), "p")
     named = both.where(F.size("b_wider") > 0).groupBy("i").agg(F.collect_set("b_wider").alias("w"))
     one = named.where(F.size(F.reduce("w", F.get("w", F.lit(0)), lambda x, y: F.array_intersect(x, y))) > 0).select("i")
     lone = both.join(one, "i").select(F.col("i").alias("a_cls"), F.col("p").alias("b_cls"))
