@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quorum.session import spread
+
 # Letters drawn alike, one look per word; the scripts are Latin, Greek, Cyrillic, Armenian, Cherokee.
 LOOKS = """
 aа cсϲᴄ eе hһ iі jјϳ oοоօ pрρ qԛ sѕ vνѵ wԝ xх yу dԁ lӏ kκк uս
@@ -45,7 +47,8 @@ _IGNORED = re.compile(
 )
 _JOINER = "‍"
 _LINE_END = re.compile("\r\n|\r|\u0085| | ")
-_MARKS = {ord(k): v for k, v in MARKS.items()}
+_ASCII_CONTROLS = re.compile("[\x00-\x08\x0b-\x1f\x7f]")
+_MARKS = {ord(k): v for k, v in MARKS.items()} | {0x1680: " "}  # the only space that decomposition leaves
 
 
 def _joins_pictures(s: str, at: int) -> bool:
@@ -57,13 +60,12 @@ def strip_and_fold(text: str) -> str:
 
     A zero-width joiner stays only between pictographs, where it is seen.
     """
-    if text.isascii() and text.isprintable():
+    if text.isascii() and not _ASCII_CONTROLS.search(text):
         return text
     s = _IGNORED.sub("", text)
     if _JOINER in s:
         s = "".join(c for i, c in enumerate(s) if c != _JOINER or _joins_pictures(s, i))
     s = _LINE_END.sub("\n", s)
-    s = "".join(" " if unicodedata.category(c) == "Zs" else c for c in s) if not s.isascii() else s
     return unicodedata.normalize("NFKD", s).translate(_MARKS)
 
 
@@ -165,7 +167,7 @@ def bigram_counts(docs: DataFrame, text: Column) -> DataFrame:
                         counts[a, b] += n
         yield pd.DataFrame([(a, b, n) for (a, b), n in counts.items()], columns=["a", "b", "n"])
 
-    per_task = docs.select(text.alias("text")).mapInPandas(run, "a string, b string, n bigint")
+    per_task = spread(docs.select(text.alias("text"))).mapInPandas(run, "a string, b string, n bigint")
     return per_task.groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
@@ -184,7 +186,7 @@ def canonical_texts(docs: DataFrame, doc_id: Column, text: Column, reader: Reade
         for f in frames:
             yield f.assign(canonical=[reader.canonical(t) if t is not None else None for t in f["text"]])
 
-    rows = docs.select(doc_id.alias("doc_id"), text.alias("text"))
+    rows = spread(docs.select(doc_id.alias("doc_id"), text.alias("text")))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInPandas(run, f"doc_id {kind}, text string, canonical string")
 

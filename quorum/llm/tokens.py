@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quorum.session import spread
+
 #: words of one recursive query; bounds DuckDB's memory in a task
 WORDS_A_QUERY = 20_000
 #: rows of one recursive query, so that very long words go alone
@@ -140,7 +142,7 @@ def encode_corpus(docs: DataFrame, doc_id: Column, text: Column, vocabulary: str
                 part = f.iloc[at : at + batch_rows]
                 yield pd.DataFrame({"doc_id": part["doc_id"], "ids": work.encode([t if t is not None else "" for t in part["text"]])})
 
-    rows = docs.select(doc_id.alias("doc_id"), text.alias("text"))
+    rows = spread(docs.select(doc_id.alias("doc_id"), text.alias("text")))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInPandas(run, f"doc_id {kind}, ids array<int>")
 
@@ -203,4 +205,4 @@ def count_tokens(docs: DataFrame, text: Column, name: str = "n_tokens", vocabula
             cache["it"] = tiktoken.Encoding("ranks", pat_str=p.PATTERN, mergeable_ranks=ranks, special_tokens={})
         return texts.map(lambda t: len(cache["it"].encode_ordinary(t)) if t else 0).astype("int32")
 
-    return docs.withColumn(name, counted(text))
+    return spread(docs).withColumn(name, counted(text))
