@@ -105,8 +105,9 @@ def links(cls: DataFrame, near: DataFrame, cls_contacts: DataFrame) -> DataFrame
     lost = a.where("a_place = ''")
     by_name = lost.join(b, (F.col("a_state") == F.col("b_state")) & (F.col("a_surname") == F.col("b_surname")) & (F.col("a_cls") != F.col("b_cls")) & (level >= 2)).select("a_cls", "b_cls", "b_place")
     single = by_name.groupBy("a_cls").agg(F.countDistinct(F.when(F.col("b_place") != "", F.col("b_place"))).alias("places")).where("places <= 1").select("a_cls")
+    close = F.levenshtein("a_surname", "b_surname", RADIUS) >= 0
     by_contact = (
-        lost.join(ca, "a_cls").join(b.join(cb, "b_cls"), "contact").where((F.col("a_cls") != F.col("b_cls")) & (F.col("a_state") == F.col("b_state")) & (F.levenshtein("a_surname", "b_surname", RADIUS) >= 0) & (level > 0)).select("a_cls", "b_cls")
+        lost.join(ca, "a_cls").join(b.join(cb, "b_cls"), "contact").where((F.col("a_cls") != F.col("b_cls")) & (F.col("a_state") == F.col("b_state")) & (close | F.array_contains("a_surname_parts", F.col("b_surname")) | F.array_contains("b_surname_parts", F.col("a_surname"))) & (level > 0)).select("a_cls", "b_cls")
     )
     all_ = pairs.where(sure).select("a_cls", "b_cls").unionByName(lone).unionByName(told).unionByName(by_name.join(single, "a_cls").select("a_cls", "b_cls")).unionByName(by_contact)
     return all_.select(F.least("a_cls", "b_cls").alias("a_cls"), F.greatest("a_cls", "b_cls").alias("b_cls")).distinct()
