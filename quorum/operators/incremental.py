@@ -9,10 +9,14 @@ from quorum.functions.ids import fingerprint, salted_uuid
 
 
 def newer_than(source: DataFrame, target: DataFrame, at: str, inclusive: bool = False) -> DataFrame:
-    """Source rows after the target's last ``at`` (or at it, if inclusive); all of them for an empty target."""
-    last = target.agg(F.max(at).alias("__last"))  # one row
-    late = F.col(at) >= F.col("__last") if inclusive else F.col(at) > F.col("__last")
-    return source.crossJoin(F.broadcast(last)).where(F.col("__last").isNull() | late).drop("__last")
+    """Source rows after the target's last ``at`` (or at it, if inclusive); all of them for an empty target.
+
+    The watermark, one value, is read first, so that the filter is a constant that reaches the scan.
+    """
+    last = target.agg(F.max(at)).first()[0]
+    if last is None:
+        return source
+    return source.where(F.col(at) >= F.lit(last) if inclusive else F.col(at) > F.lit(last))
 
 
 def newer_than_per_key(source: DataFrame, target: DataFrame, key: str, at: str) -> DataFrame:

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quorum.operators.incremental import newer_than
+
 
 def unpivot(df: DataFrame, ids: list[str], values: list[str], name: str = "name", value: str = "value", kind: str = "string") -> DataFrame:
     """One row per id row and column with a non-null value, in one scan; values are cast to ``kind`` first."""
@@ -32,5 +34,4 @@ def union_by_name(parts: list[DataFrame]) -> DataFrame:
 
 def master_and_tail(master: DataFrame, tail: DataFrame, at: str) -> DataFrame:
     """The authoritative table, and of the other one what is later than its last row (all of it if it is empty)."""
-    last = master.agg(F.max(at).alias("__last"))  # one row
-    return master.unionByName(tail.crossJoin(F.broadcast(last)).where(F.col("__last").isNull() | (F.col(at) > F.col("__last"))).drop("__last"))
+    return master.unionByName(newer_than(tail, master, at))

@@ -188,3 +188,9 @@ def test_quality_vocabulary(spark):
     assert quality.share_below(df, F.col("i").isNull(), 0.05).count() == 1
     gates = {r.gate: r.passed for r in quality.publish_gate(df, df.limit(0), "i", 0.9, 10, 0.9, ["v"]).collect()}
     assert gates == {"row_ratio": True, "cold_start": False, "key_overlap": True, "null_v": False}
+
+
+def test_watermark_reaches_the_scan(spark, small):
+    e = spark.read.parquet(f"{small}/events.parquet")
+    plan = incremental.newer_than(e, e.where("event_id < 100"), "ts")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(ts" in plan
