@@ -20,6 +20,24 @@ def unique(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.where(known).groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
+def unique_sampled(df: DataFrame, cols: list[str], fraction: float, seed: int = 1) -> DataFrame:
+    """At most one repeated combination among the rows of a sample of the combinations: a cheap probe, not a proof.
+
+    The sample is drawn by a hash of the combination, so that all rows of a drawn one are seen.
+    """
+    drawn = F.pmod(F.xxhash64(*cols, F.lit(seed)), F.lit(1 << 20)) < F.lit(int(fraction * (1 << 20)))
+    return unique(df.where(drawn), cols).limit(1)
+
+
+def freshness(df: DataFrame, group: str, at: str, now: Column | None = None) -> DataFrame:
+    """group, last_at, lag_hours: how far each group's last row is behind ``now`` (the table's last row if not given)."""
+    last = df.groupBy(group).agg(F.max(at).alias("last_at"))
+    if now is None:
+        last, now = last.crossJoin(F.broadcast(df.agg(F.max(at).alias("__now")))), F.col("__now")  # one row
+    seconds = F.unix_seconds(now.cast("timestamp")) - F.unix_seconds(F.col("last_at").cast("timestamp"))
+    return last.select(group, "last_at", F.floor(seconds / 3600).alias("lag_hours"))
+
+
 def accepted_values(df: DataFrame, col: str, values: list) -> DataFrame:
     return df.where(F.col(col).isNotNull() & ~F.col(col).isin(values))
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quorum.functions import civic, ids, names, numbers, similarity, text
-from quorum.operators import aggregates, graph, incremental, joins, linkage, reshape, windows
+from quorum.operators import aggregates, graph, incremental, joins, linkage, quality, reshape, windows
 from quorum.plans import metrics
 from quorum.session import table
 
@@ -296,6 +296,19 @@ def json_fields(spark: SparkSession, d: str) -> DataFrame:
     return e.select("event_id", text.json_field(F.col("props"), "k", "bigint").alias("k"), text.json_field(F.col("props"), "k", "boolean").alias("k_flag"), text.json_field(F.col("props"), "absent", "date").alias("absent"))
 
 
+EVENT_FAMILIES = {"signup": "account", "purchase": "conversion", "error": "fault", "view": "engagement", "click": "engagement"}
+
+
+def event_families(spark: SparkSession, d: str) -> DataFrame:
+    """Events per user and family; what recurs is told from what happens once."""
+    e = events(spark, d).withColumn("family", text.first_keyword(F.col("event_type"), EVENT_FAMILIES, "other"))
+    return e.groupBy("user_id", "family").agg(F.count(F.lit(1)).alias("n"), (F.countDistinct(F.to_date("ts")) > 1).alias("is_recurrent"))
+
+
+def freshness_lag(spark: SparkSession, d: str) -> DataFrame:
+    return quality.freshness(table(spark, d, "load__l2_s3_to_databricks"), "state_id", "loaded_at")
+
+
 def tri_state_gate(spark: SparkSession, d: str) -> DataFrame:
     """false before an effective date, else the flag, null where it is unknown."""
     o = orders(spark, d)
@@ -425,7 +438,7 @@ PLANS = [
     group_agg, count_distinct_conditional, conditional_agg, bool_rollup, max_by_fallback, mode_deterministic, collect_sorted_structs, percentile_iqr_outliers, rollup_all_label, safe_ratio, bucket_histogram,
     mass_allocation, majority_membership, rss_margin, wilson_interval, count_once, metric_simple, metric_cumulative, ranked_pick, topk_per_group, window_totals, first_value_ignore_nulls, sessionize_gap,
     window_collect_union, sibling_resolution, trailing_window_flags, tumbling_week, unpivot, stack_reshape, unpivot_dynamic, pivot_conditional, incremental_watermark, incremental_per_key, affected_key_recompute,
-    version_fingerprint, scd2_snapshot, mint_canonical_id, salted_ids, election_ids, slugs, text_normalization, office_match_keys, district_parts, election_days, stage_depths, json_fields, tri_state_gate, multi_format_dates,
+    version_fingerprint, scd2_snapshot, mint_canonical_id, salted_ids, election_ids, slugs, text_normalization, office_match_keys, district_parts, election_days, stage_depths, json_fields, event_families, freshness_lag, tri_state_gate, multi_format_dates,
     deidentified, human_names, connected_components, record_linkage, similarity_scores, interval_bounds, waterfall_scoring, state_as_of, scalar_if_unambiguous, fail_closed_resolution, share_projection, geo_slugs, canonical_crosswalk,
 ]
 

@@ -95,6 +95,9 @@ SQL: dict[str, str] = {
     "stage_depths": """SELECT election_stage, stage, CASE WHEN stage IN ('general runoff', 'general special runoff') THEN 4 WHEN stage IN ('general', 'general special') THEN 3 WHEN stage IN ('primary runoff', 'primary special runoff') THEN 2 WHEN stage IN ('primary', 'primary special') THEN 1 ELSE 0 END AS depth
         FROM (SELECT DISTINCT election_stage, CASE WHEN election_stage = 'runoff' THEN 'general runoff' ELSE lower(election_stage) END AS stage FROM election_stage_input)""",
     "json_fields": "SELECT event_id, TRY_CAST(nullif(props ->> '$.k', '') AS BIGINT) AS k, CASE WHEN props ->> '$.k' = '1' THEN true WHEN props ->> '$.k' = '0' THEN false END AS k_flag, NULL::DATE AS absent FROM events",
+    "event_families": """SELECT user_id, CASE event_type WHEN 'signup' THEN 'account' WHEN 'purchase' THEN 'conversion' WHEN 'error' THEN 'fault' WHEN 'view' THEN 'engagement' WHEN 'click' THEN 'engagement' ELSE 'other' END AS family,
+        count(*) AS n, count(DISTINCT ts::DATE) > 1 AS is_recurrent FROM events GROUP BY 1, 2""",
+    "freshness_lag": "SELECT state_id, max(loaded_at) AS last_at, floor((epoch((SELECT max(loaded_at) FROM load__l2_s3_to_databricks)) - epoch(max(loaded_at))) / 3600)::BIGINT AS lag_hours FROM load__l2_s3_to_databricks GROUP BY 1",
     "tri_state_gate": """SELECT o_orderkey, CASE WHEN o_orderdate::DATE < DATE '1995-06-01' THEN false WHEN o_orderstatus <> 'P' THEN o_totalprice > 100000 END AS eligible, o_orderstatus <> 'P' AND o_totalprice <= 100000 AS clean FROM orders""",
     "multi_format_dates": "SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN make_date(2024, 7, (p_partkey % 28 + 1)::INT) WHEN 2 THEN DATE '2023-05-17' END AS day FROM part",
     "deidentified": """WITH x AS (SELECT sha256(concat_ws('|', upper(trim(coalesce(state, ''))), upper(trim(coalesce(residence_addresses_city, ''))), upper(trim(coalesce(residence_addresses_zip, ''))), upper(trim(coalesce(lastname, ''))))) AS household, state, year(birthdate)::INT AS y FROM voter)

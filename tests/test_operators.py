@@ -186,6 +186,7 @@ def test_quality_vocabulary(spark):
     assert quality.tuple_exists(df, ["s"], df.where("s = 'CA'")).count() == 2
     assert quality.is_state(df, "s").count() == 1 and quality.is_uuid(df, "v").count() == 2
     assert quality.share_below(df, F.col("i").isNull(), 0.05).count() == 1
+    assert quality.unique_sampled(df, ["i"], 1.0).count() == 1 and quality.unique_sampled(df, ["v"], 1.0).count() == 0
     gates = {r.gate: r.passed for r in quality.publish_gate(df, df.limit(0), "i", 0.9, 10, 0.9, ["v"]).collect()}
     assert gates == {"row_ratio": True, "cold_start": False, "key_overlap": True, "null_v": False}
 
