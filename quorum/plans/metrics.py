@@ -74,8 +74,7 @@ def query(metric: Metric, table: DataFrame, by: list[str] | None = None, grain:
         raise ValueError("only sums and counts accumulate")
     if spine:
         periods = time_spine(table.sparkSession, *spine, grain).select(F.to_date(F.date_trunc(grain, "period")).alias("period")).distinct()
-        groups = value.select(*by).distinct() if by else None
-        grid = periods.crossJoin(F.broadcast(groups)) if by else periods  # periods x groups of the result
+        grid = value.select(*by).distinct().crossJoin(F.broadcast(periods)) if by else periods  # the spine is a short list
         value = grid.join(value, ["period", *by], "left").withColumn(metric.name, F.coalesce(metric.name, F.lit(0)))
     run = Window.partitionBy(*by).orderBy("period").rowsBetween(Window.unboundedPreceding, 0)
     return value.withColumn(metric.name, F.sum(metric.name).over(run))
