@@ -36,16 +36,17 @@ def radius_join(names: DataFrame, radius: int) -> DataFrame:
     only = sizes.where(F.col("n") <= CELL).select("grp", F.col("least").alias("pivot"))
     near = n.join(sampled, "grp").withColumn("d", F.levenshtein("name", "pivot"))
     per_name = near.groupBy("grp", "name").agg(F.min(F.struct("d", "pivot")).alias("home"), F.collect_list(F.struct("pivot", "d")).alias("all"))
-    cells = per_name.select("grp", "name", F.col("home.pivot").alias("nearest"), F.explode(F.filter("all", lambda x: x["d"] <= F.col("home.d") + 2 * radius)).alias("c")).select("grp", "name", F.col("c.pivot").alias("pivot"), (F.col("c.pivot") == F.col("nearest")).alias("is_home"))
-    single = n.join(only, "grp").select("grp", "name", "pivot", F.lit(True).alias("is_home"))
+    cells = per_name.select("grp", "name", F.col("home.pivot").alias("nearest"), F.explode(F.filter("all", lambda x: x["d"] <= F.col("home.d") + 2 * radius)).alias("c")).select("grp", "name", F.col("c.pivot").alias("pivot"), F.col("c.d").alias("d"), (F.col("c.pivot") == F.col("nearest")).alias("is_home"))
+    single = n.join(only, "grp").select("grp", "name", "pivot", F.levenshtein("name", "pivot").alias("d"), F.lit(True).alias("is_home"))
     placed = cut(cells.unionByName(single))
     counts = placed.groupBy("grp", "pivot").agg(F.ceil(F.count_if("is_home") / BLOCK).cast("int").alias("hb"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("vb"))
     sized = placed.join(counts, ["grp", "pivot"])
     block = lambda k: F.pmod(F.xxhash64("name"), F.col(k)).cast("int")
     spread = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
-    homes = sized.where("is_home").select("grp", "pivot", F.col("name").alias("x"), block("hb").alias("h"), spread("vb").alias("v"))
-    visitors = sized.where("hb > 0").select("grp", "pivot", F.col("name").alias("y"), F.col("is_home").alias("y_home"), block("vb").alias("v"), spread("hb").alias("h"))
-    close = (F.abs(F.length("x") - F.length("y")) <= radius) & (F.levenshtein("x", "y", radius) >= 0)
+    homes = sized.where("is_home").select("grp", "pivot", F.col("name").alias("x"), F.col("d").alias("dx"), block("hb").alias("h"), spread("vb").alias("v"))
+    visitors = sized.where("hb > 0").select("grp", "pivot", F.col("name").alias("y"), F.col("d").alias("dy"), F.col("is_home").alias("y_home"), block("vb").alias("v"), spread("hb").alias("h"))
+    # the triangle inequality once more: distances to the pivot of close names differ by the radius at most
+    close = (F.abs(F.col("dx") - F.col("dy")) <= radius) & (F.abs(F.length("x") - F.length("y")) <= radius) & (F.levenshtein("x", "y", radius) >= 0)
     met = homes.join(visitors, ["grp", "pivot", "h", "v"]).where((F.col("x") != F.col("y")) & (~F.col("y_home") | (F.col("x") < F.col("y"))) & close)
     return met.select("grp", F.least("x", "y").alias("name_a"), F.greatest("x", "y").alias("name_b"), F.levenshtein("x", "y").alias("distance")).distinct()
 
