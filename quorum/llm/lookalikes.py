@@ -32,7 +32,7 @@ MARKS = {"‐": "-", "‑": "-", "﹣": "-", "։": ":", "׃": ":", "∶": ":", "
 # Scripts by the first word of a letter's Unicode name.
 SCRIPTS = ("LATIN", "GREEK", "CYRILLIC", "ARMENIAN", "CHEROKEE")
 #: rows of the bigram model: at most this many characters of the scripts, squared; the driver holds no more
-MOST_BIGRAMS = 2_000_000
+MOST_BIGRAMS = 4_000_000
 #: tokens remembered by a task; beyond that it forgets all and goes on
 REMEMBERED = 400_000
 SMOOTHING, CHANGE_OF_SCRIPT, OTHER_CONTEXT = 0.1, -12.0, -6.0
