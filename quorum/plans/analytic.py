@@ -345,6 +345,14 @@ def connected_components(spark: SparkSession, d: str) -> DataFrame:
     return graph.components(edges).select("v", "component", "n_vertices")
 
 
+def connected_components_all(spark: SparkSession, d: str) -> DataFrame:
+    """All customers linked by orders of one day and priority."""
+    o = orders(spark, d).select(F.col("o_custkey").alias("c"), F.concat_ws("|", F.to_date("o_orderdate").cast("string"), "o_orderpriority").alias("k"))
+    hub = o.groupBy("k").agg(F.min("c").alias("b"))
+    edges = o.join(hub, "k").where("c <> b").select(F.col("c").alias("a"), "b").distinct()
+    return graph.components(edges).select("v", "component", "n_vertices")
+
+
 def record_linkage(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of two sources with match probabilities of a Fellegi-Sunter model, post-filtered."""
     e = table(spark, d, "dummy_data_elected").select("unique_id", "source_name", "state", F.lower("last_name").alias("last"), text.letters_only(F.col("first_name")).alias("first"), F.split(F.lower("official_office_name"), "[^a-z]+").alias("office"), F.lower("email").alias("email")).distinct()
@@ -439,7 +447,7 @@ PLANS = [
     mass_allocation, majority_membership, rss_margin, wilson_interval, count_once, metric_simple, metric_cumulative, ranked_pick, topk_per_group, window_totals, first_value_ignore_nulls, sessionize_gap,
     window_collect_union, sibling_resolution, trailing_window_flags, tumbling_week, unpivot, stack_reshape, unpivot_dynamic, pivot_conditional, incremental_watermark, incremental_per_key, affected_key_recompute,
     version_fingerprint, scd2_snapshot, mint_canonical_id, salted_ids, election_ids, slugs, text_normalization, office_match_keys, district_parts, election_days, stage_depths, json_fields, event_families, freshness_lag, tri_state_gate, multi_format_dates,
-    deidentified, human_names, connected_components, record_linkage, similarity_scores, interval_bounds, waterfall_scoring, state_as_of, scalar_if_unambiguous, fail_closed_resolution, share_projection, geo_slugs, canonical_crosswalk,
+    deidentified, human_names, connected_components, connected_components_all, record_linkage, similarity_scores, interval_bounds, waterfall_scoring, state_as_of, scalar_if_unambiguous, fail_closed_resolution, share_projection, geo_slugs, canonical_crosswalk,
 ]
 
 

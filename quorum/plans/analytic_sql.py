@@ -106,6 +106,10 @@ SQL: dict[str, str] = {
         e AS (SELECT DISTINCT c AS a, b FROM o JOIN h USING (k) WHERE c <> b AND c % 3 = 0 AND b % 3 = 0), w AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
         walk AS (SELECT DISTINCT a AS v, a AS r FROM w UNION SELECT b, r FROM walk JOIN w ON v = a WHERE r < b),
         l AS (SELECT v, min(r) AS component FROM walk GROUP BY 1) SELECT v, component, count(*) OVER (PARTITION BY component) AS n_vertices FROM l""",
+    "connected_components_all": """WITH RECURSIVE o AS (SELECT o_custkey AS c, concat_ws('|', o_orderdate::DATE::VARCHAR, o_orderpriority) AS k FROM orders), h AS (SELECT k, min(c) AS b FROM o GROUP BY 1),
+        e AS (SELECT DISTINCT c AS a, b FROM o JOIN h USING (k) WHERE c <> b), w AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+        walk AS (SELECT DISTINCT a AS v, a AS r FROM w UNION SELECT b, min(r) FROM walk JOIN w ON v = a WHERE r < b GROUP BY b),
+        l AS (SELECT v, min(r) AS component FROM walk GROUP BY 1) SELECT v, component, count(*) OVER (PARTITION BY component) AS n_vertices FROM l""",
     "similarity_scores": "SELECT p_brand AS brand, min(p_name) AS a, max(p_name) AS b, round(jaro_winkler_similarity(min(p_name), max(p_name)), 6) AS jw FROM part GROUP BY 1",
     "interval_bounds": """WITH g AS (SELECT l_suppkey, round(sum(l_discount * l_quantity), 4) AS projected, sum(l_quantity) AS size FROM lineitem GROUP BY 1),
         r AS (SELECT *, CASE WHEN size > 0 THEN least(greatest(projected / size, 0), 1) END AS rate, greatest(round(projected), 3.0) AS point FROM g),

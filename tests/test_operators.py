@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from quorum.operators import aggregates, graph, incremental, joins, quality, reshape, windows
 from quorum.operators import references as ref
 from quorum.operators import skew
+from quorum.plans import catalogue
+from quorum.session import table
 
 
 def rows(df):
@@ -195,3 +197,24 @@ def test_watermark_reaches_the_scan(spark, small):
     e = spark.read.parquet(f"{small}/events.parquet")
     plan = incremental.newer_than(e, e.where("event_id < 100"), "ts")._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(ts" in plan
+
+
+def test_components_of_all_orders(spark, small):
+    orders = table(spark, small, "orders").select("o_custkey", F.to_date("o_orderdate").cast("string").alias("day"), "o_orderpriority").collect()
+    parent = {}
+
+    def top(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    by = {}
+    for r in orders:
+        by.setdefault((r.day, r.o_orderpriority), set()).add(r.o_custkey)
+    for a, *rest in (sorted(x) for x in by.values()):
+        for b in rest:
+            x, y = sorted((top(a), top(b)))
+            parent[y] = x
+    want = {x: top(x) for x in parent if any(len(c) > 1 and x in c for c in by.values())}
+    got = {r.v: r.component for r in catalogue.queries()["connected_components_all"](spark, small).collect()}
+    assert got == want and any(v % 3 for v in got)
