@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+from math import ceil
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import ArrayType, DoubleType, StringType
 
 PREFIX, WEIGHT, BOOST = 4, 0.1, 0.7
 
@@ -57,3 +60,45 @@ def _jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
 def jaro_winkler(a: Column, b: Column) -> Column:
     """Null if a side is null. Costs a pass through Python: compare within blocks, on distinct texts."""
     return _jaro_winkler(a, b)
+
+
+#: letters from rare to frequent; any fixed order is right, this one makes small blocks
+RARE_FIRST = "qjzxvkwybpgfmucdlhrsnioate"
+KEY = 3
+
+
+def near_keys_of(s: str, least: float) -> list[str]:
+    """Texts with jaro_winkler_of >= least (above BOOST) share one of these keys: the first PREFIX letters, or letters in common.
+
+    Texts that share fewer letters at their beginning have a Jaro similarity of at least j, so the m letters in
+    common are at least 3j - 2 of the longer one. Of two sets with m elements in common, ordered alike, the
+    first n - m + KEY of each (of n) have KEY of these in common.
+    """
+    j = min((least - n * WEIGHT) / (1 - n * WEIGHT) for n in range(PREFIX))
+    seen: dict[str, int] = {}
+    letters = []
+    for c in s:
+        seen[c] = seen.get(c, 0) + 1
+        letters.append((-seen[c], RARE_FIRST.find(c), c))
+    letters.sort()
+    m = max(ceil((3 * j - 2) * len(s) - 1e-9), KEY)
+    parts = ["".join(f"{c}{-k}" for k, _, c in x) for x in combinations(letters[: len(s) - m + KEY], KEY)] if len(s) >= KEY else []
+    parts += ["".join(f"{c}{-k}" for k, _, c in x) for n in range(1, KEY) for x in combinations(letters, n)] if len(s) * (3 * j - 2) < KEY - 1 + 1e-9 else []
+    return sorted({*parts, "=" + s, *(["^" + s[:PREFIX]] if len(s) >= PREFIX else [])})
+
+
+def near_keys(x: Column, least: float) -> Column:
+    """An array of keys of which texts with jaro_winkler >= least share one; null for null. Apply to distinct texts."""
+
+    @F.pandas_udf(ArrayType(StringType()))
+    def keys(s: pd.Series) -> pd.Series:
+        return s.map(lambda t: None if t is None else near_keys_of(t, least))
+
+    return keys(x)
+
+
+def common_letters(x: Column, y: Column) -> Column:
+    """How many letters x and y have in common, each as often as both have it: no less than Jaro's matches."""
+    distinct = F.array_distinct(F.split(x, ""))
+    count = lambda s, c: F.length(s) - F.length(F.replace(s, c))
+    return F.aggregate(distinct, F.lit(0), lambda n, c: n + F.least(count(x, c), count(y, c)))

@@ -353,11 +353,38 @@ def connected_components_all(spark: SparkSession, d: str) -> DataFrame:
     return graph.components(edges).select("v", "component", "n_vertices")
 
 
+def near_surnames(e: DataFrame, least: float) -> DataFrame:
+    """state, x, y: the distinct surnames of a state with a Jaro-Winkler similarity of at least ``least``, both ways and each with itself."""
+    from quorum.session import cut, spread
+
+    cores = e.sparkSession.sparkContext.defaultParallelism
+    last = cut(e.select("state", "last").where("state IS NOT NULL AND last IS NOT NULL").distinct())
+    keyed = cut(spread(last).withColumn("k", F.explode(similarity.near_keys(F.col("last"), least))).repartition(2 * cores, "state", "k"))
+    met = keyed.withColumnRenamed("last", "x").hint("merge").join(keyed.withColumnRenamed("last", "y"), ["state", "k"]).where("x < y")
+    long, short = F.greatest(F.length("x"), F.length("y")), F.least(F.length("x"), F.length("y"))
+    lead = F.when(F.substring("x", 1, similarity.PREFIX) == F.substring("y", 1, similarity.PREFIX), similarity.PREFIX).otherwise(similarity.PREFIX - 1) * F.lit(similarity.WEIGHT)
+    enough = lambda m: (m / long + m / short + 1) / 3 * (1 - lead) + lead >= least - 1e-9
+    pairs = cut(met.where(enough(short)).select("state", "x", "y").distinct())
+    near = cut(spread(pairs).where(enough(similarity.common_letters(F.col("x"), F.col("y")))).where(similarity.jaro_winkler(F.col("x"), F.col("y")) >= least))
+    return near.unionAll(near.select("state", F.col("y").alias("x"), F.col("x").alias("y"))).unionAll(last.select("state", F.col("last").alias("x"), F.col("last").alias("y")))
+
+
+def linkage_candidates(e: DataFrame, least: float) -> DataFrame:
+    """id_l, id_r of different sources with near surnames in a state, or with an e-mail, a phone or a position of a state in common."""
+    l = e.select("state", F.col("last").alias("x"), F.col("unique_id").alias("id_l"))
+    r = e.select("state", F.col("last").alias("y"), F.col("unique_id").alias("id_r"))
+    by_name = l.join(near_surnames(e, least), ["state", "x"]).join(r, ["state", "y"]).select("id_l", "id_r")
+    by_key = joins.blocked_pairs(e, e, [[F.col("email")], [F.col("phone")], [F.col("state"), F.col("position")]], "unique_id", "unique_id")
+    source = lambda i: e.select(F.col("unique_id").alias(i), F.col("source_name").alias(f"source_{i}")).distinct()
+    return by_name.unionAll(by_key).distinct().join(source("id_l"), "id_l").join(source("id_r"), "id_r").where("source_id_l < source_id_r").select("id_l", "id_r")
+
+
 def record_linkage(spark: SparkSession, d: str) -> DataFrame:
-    """Pairs of two sources with match probabilities of a Fellegi-Sunter model, post-filtered."""
-    e = table(spark, d, "dummy_data_elected").select("unique_id", "source_name", "state", F.lower("last_name").alias("last"), text.letters_only(F.col("first_name")).alias("first"), F.split(F.lower("official_office_name"), "[^a-z]+").alias("office"), F.lower("email").alias("email")).distinct()
-    a, b = e.where("source_name = 'ballotready'"), e.where("source_name = 'techspeed'")
-    cols = ["last", "first", "office", "email"]
+    """Pairs of any two sources with match probabilities of a Fellegi-Sunter model, post-filtered."""
+    from quorum.session import cut, spread
+
+    e = cut(spread(cut(table(spark, d, "dummy_data_elected").select("unique_id", "source_name", "state", F.lower("last_name").alias("last"), text.letters_only(F.col("first_name")).alias("first"), F.split(F.lower("official_office_name"), "[^a-z]+").alias("office"), F.lower("email").alias("email"), "phone", F.col("ballotready_position_id").alias("position")).distinct())))
+    cols = ["source_name", "last", "first", "office", "email"]
     jw = similarity.jaro_winkler
     comparisons = [
         linkage.Comparison("last", ["last"], [F.col("l_last") == F.col("r_last"), F.col("jw_last") >= 0.92]),
@@ -365,12 +392,10 @@ def record_linkage(spark: SparkSession, d: str) -> DataFrame:
         linkage.Comparison("office", ["office"], [F.size(F.array_intersect("l_office", "r_office")) >= 4, F.arrays_overlap("l_office", "r_office")]),
         linkage.Comparison("email", ["email"], [F.col("l_email") == F.col("r_email")]),
     ]
-    sides = lambda p: linkage.with_sides(p, a, b, "unique_id", cols).withColumns({"jw_last": jw(F.col("l_last"), F.col("r_last")), "jw_first": jw(F.col("l_first"), F.col("r_first"))})
-    pairs = joins.blocked_pairs(a, b, [[F.col("state"), F.substring("last", 1, 4)], [F.col("email")]], "unique_id", "unique_id")
-    from quorum.session import cut
-
-    gammas = cut(linkage.compare(sides(pairs), comparisons))
-    chance = linkage.compare(sides(linkage.chance_pairs(a, b, "unique_id", 20_000)), comparisons)
+    sides = lambda p: linkage.with_sides(p, e, e, "unique_id", cols).where("l_source_name <> r_source_name").withColumns({"jw_last": jw(F.col("l_last"), F.col("r_last")), "jw_first": jw(F.col("l_first"), F.col("r_first"))})
+    gammas = cut(linkage.compare(sides(linkage_candidates(e, 0.92)), comparisons))
+    # of four sources of one size a quarter of all pairs are within a source
+    chance = linkage.compare(sides(linkage.chance_pairs(e, e, "unique_id", linkage.CHANCE_PAIRS * 4 // 3)), comparisons)
     scored = linkage.score(gammas, linkage.estimate(gammas, chance, comparisons), comparisons)
     return scored.where((F.col("match_probability") >= 0.01) & (F.col("gamma_last") != 0) & (F.col("gamma_office") > 0)).select("id_l", "id_r", F.round("match_probability", 6).alias("match_probability"))
 

@@ -1,13 +1,15 @@
 """Files, published tables, enrichment, metrics, linkage and streams."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from quorum.functions import similarity
 from quorum.functions.similarity import jaro_winkler
 from quorum.operators import linkage, quality
-from quorum.plans import metrics
+from quorum.plans import analytic, metrics
 from quorum.sources import enrich, files
 from quorum.streaming import streams
 
@@ -114,3 +116,24 @@ def test_stream_upsert_and_windows(spark, tmp_path):
     s = streams.sessions(stream, "at", "k", "90 minutes").writeStream.format("memory").queryName("visits").outputMode("complete").trigger(availableNow=True).start()
     s.awaitTermination()
     assert {(r.k, r.n_events) for r in spark.table("visits").collect()} == {(1, 4), (2, 1), (3, 1)}
+
+
+def test_linkage_candidates(spark, small):
+    rows = [
+        ("a|1", "a", "CA", "lindqvist", None, None, None), ("b|1", "b", "CA", "kindqvist", None, None, None), ("c|1", "c", "NV", "lindqvist", None, None, None), ("a|2", "a", "CA", "lindqvist", None, None, None),
+        ("b|3", "b", "CA", "stone", None, "555", None), ("c|3", "c", "TX", None, None, "555", None), ("b|4", "b", "TX", "ng", None, None, "p"), ("d|4", "d", "TX", "wu", None, None, "p"), ("a|4", "a", "CA", "ho", None, None, "p"),
+        ("c|5", "c", "CA", "marsh", "m@x", None, None), ("d|5", "d", "TX", "swamp", "m@x", None, None),
+    ]
+    e = spark.createDataFrame(rows, "unique_id string, source_name string, state string, last string, email string, phone string, position string")
+    got = [tuple(r) for r in analytic.linkage_candidates(e, 0.92).collect()]
+    assert sorted(got) == [("a|1", "b|1"), ("a|2", "b|1"), ("b|3", "c|3"), ("b|4", "d|4"), ("c|5", "d|5")]
+    linked = analytic.record_linkage(spark, small).collect()
+    assert {r.id_l.split("|")[0] for r in linked} >= {"ballotready", "ddhq"} and all(r.id_l.split("|")[0] < r.id_r.split("|")[0] for r in linked)
+
+
+def test_near_keys_lose_no_pair():
+    rng = random.Random(3)
+    words = sorted({"".join(rng.choice("abcde") for _ in range(rng.randrange(1, 13))) for _ in range(400)} | {"ng", "li", "lee", "de la cruz", "garcia-lopez", "garcia-lopes"})
+    keys = {w: set(similarity.near_keys_of(w, 0.88)) for w in words}
+    near = [(a, b) for a in words for b in words if similarity.jaro_winkler_of(a, b) >= 0.88]
+    assert len(near) > len(words) and not [p for p in near if keys[p[0]].isdisjoint(keys[p[1]])]
