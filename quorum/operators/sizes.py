@@ -1,15 +1,20 @@
-"""Broadcast only what has been counted."""
+"""Broadcast only what has been measured."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quorum.session import cut, estimated_bytes
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
-    """df with a broadcast hint if it has at most ``max_rows`` rows; else df as it is, for a shuffled join.
+#: bytes on disk, compressed; in memory a table may have ten times as many
+MOST_BYTES = 2 << 20
 
-    The count reads no more than max_rows + 1 rows to the end of the limit; adaptive execution still splits
-    skewed partitions of the shuffled join.
+
+def broadcast_if_small(df: DataFrame, most_bytes: int = MOST_BYTES) -> DataFrame:
+    """df, written once, with a broadcast hint if its files have at most ``most_bytes``; else without, for a shuffled join.
+
+    Adaptive execution still splits skewed partitions of the shuffled join.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    done = cut(df)
+    return F.broadcast(done) if estimated_bytes(done) <= most_bytes else done

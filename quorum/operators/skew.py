@@ -1,8 +1,9 @@
 """Per-key results when a few keys hold most rows.
 
-Rows are range-partitioned on (key, secondary) by sampled quantiles, so a heavy key is split over as many
-partitions as its rows need while equal (key, secondary) pairs stay together. Each partition folds its rows
-to one state per key; the states of a key at partition boundaries are stitched in a last, tiny exchange.
+Repeats of a (key, secondary) pair are folded first, in the tasks that read them and then by pair, so that no
+pair is heavy. The pairs are range-partitioned on (key, secondary) by sampled quantiles, so a heavy key is
+split over as many partitions as its pairs need. Each partition folds its pairs to one state per key; the
+states of a key at partition boundaries are stitched in a last, tiny exchange.
 """
 
 from __future__ import annotations
@@ -16,13 +17,11 @@ def balanced_by_key(df: DataFrame, key: Column, secondary: Column, latest: Colum
 
     n_rows counts rows, n_distinct the distinct non-null ``secondary`` values, latest is the greatest
     non-null ``latest``. The work of a task is bounded by the sampled range bounds, whatever the keys' sizes:
-    first repeats of a (key, secondary) pair are folded where they are read, then each range is folded to
-    states. An empty table gives no rows.
+    repeats of a pair, (key, null) too, are folded where they are read, then each range is folded to states.
+    An empty table gives no rows.
     """
     rows = df.select(key.alias("_k"), secondary.alias("_s"), latest.alias("_t"))
-    ranged = rows.repartitionByRange("_k", "_s")
-    # the range partitioning on (_k, _s) already clusters this grouping: no further exchange
-    pairs = ranged.groupBy("_k", "_s").agg(F.count(F.lit(1)).alias("_n"), F.max("_t").alias("_t"))
+    pairs = rows.groupBy("_k", "_s").agg(F.count(F.lit(1)).alias("_n"), F.max("_t").alias("_t")).repartitionByRange("_k", "_s")
     return (
         pairs.groupBy("_k")
         .agg(F.sum("_n").alias("n_rows"), F.count("_s").alias("n_distinct"), F.max("_t").alias("latest"))
