@@ -1,10 +1,9 @@
 """Consolidating links into groups: connected components of records that share labels.
 
-Labels become spokes to their least record. The component of the vertex of highest degree, the giant if there
-is one, is peeled off first by breadth-first joins of its frontier and taken away by an anti-join. The rest
-is labelled by propagating minima: in each round every vertex passes the least grandparent of its neighbours
-to itself and to its parent and takes over its own grandparent, so that long chains need no more rounds
-than about their logarithm. One job per frontier and round.
+Labels become spokes to one of their records. The component of the vertex of highest degree, the giant if
+there is one, is peeled off first by breadth-first joins of its frontier, however deep it is, and taken away
+by an anti-join. The rest is labelled by propagating minima. Records are numbered once, so that only numbers
+move in the rounds; one job per frontier and round.
 """
 
 from __future__ import annotations
@@ -15,8 +14,8 @@ from pyspark.sql import functions as F
 from quorum.operators.graph import both_ways, cut_and_sum, propagate_minima
 from quorum.session import cut
 
-#: frontier joins of the first phase; a component that is deeper goes on in the second with one label
-MOST_FRONTIERS = 12
+#: frontiers kept apart; beyond that they are written together, so that plans stay short
+FRONTIERS_APART = 16
 
 
 def spokes(members: DataFrame) -> DataFrame:
@@ -30,19 +29,38 @@ def spokes(members: DataFrame) -> DataFrame:
     return m.join(hub, "label").where(F.col("id") != F.col("hub")).select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
 
 
-def _peel(both: DataFrame) -> tuple[DataFrame, bool] | None:
-    """The vertices found from the vertex of highest degree, one column v, and whether that is its whole component."""
+def peel(edges: DataFrame) -> DataFrame | None:
+    """The component of the vertex of highest degree, one column v; None without edges.
+
+    An edge's ends are at most one frontier apart, so what a frontier reaches is new if it is in neither of
+    the last two.
+    """
+    both = both_ways(edges)
     top = both.groupBy("a").agg(F.count(F.lit(1)).alias("n")).agg(F.max(F.struct(F.col("n"), F.col("a"))).alias("m")).first().m  # one row
     if top is None:
         return None
-    seen = frontier = both.sparkSession.createDataFrame([(top.a,)], "v string")
-    for _ in range(MOST_FRONTIERS):
+    frontier, last = edges.sparkSession.createDataFrame([(top.a,)], f"v {edges.schema['a'].dataType.simpleString()}"), None
+    seen = [frontier]
+    while True:
         reached = both.join(frontier, F.col("a") == F.col("v"), "left_semi").select(F.col("b").alias("v")).distinct()
-        frontier, n = cut_and_sum(reached.join(seen, "v", "left_anti"), F.lit(1))
+        fresh = reached.join(frontier, "v", "left_anti")
+        if last is not None:
+            fresh = fresh.join(last, "v", "left_anti")
+        last = frontier
+        frontier, n = cut_and_sum(fresh, F.lit(1))
         if not n:
-            return seen, True
-        seen = seen.unionByName(frontier)
-    return cut(seen), False
+            break
+        seen.append(frontier)
+        if len(seen) > FRONTIERS_APART:
+            seen = [cut(_all(seen))]
+    return _all(seen)
+
+
+def _all(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def connected_groups(members: DataFrame) -> DataFrame:
@@ -51,18 +69,13 @@ def connected_groups(members: DataFrame) -> DataFrame:
     ``members`` has id and label (strings), repeats allowed; null ids and labels link nothing, records that
     share no label give no row. An empty table gives no rows.
     """
-    both = cut(both_ways(spokes(members)))
-    peeled = _peel(both)
-    if peeled is None:
-        return both.select(F.col("a").alias("id"), F.col("b").alias("group_id"))
-    seen, whole = peeled
-    low = seen.agg(F.min("v").alias("f"))  # one row
-    giant = seen.crossJoin(F.broadcast(low))
-    rest = both.join(seen, F.col("a") == F.col("v"), "left_anti") if whole else both
-    start = rest.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("f")).select("v", F.least("v", "f").alias("f"))
-    if whole:
-        found = propagate_minima(cut(rest), cut(start)).unionByName(giant)
-    else:  # too deep for the frontiers: what they found starts with one label
-        known = giant.withColumnRenamed("f", "low")
-        found = propagate_minima(both, cut(start.join(known, "v", "left").select("v", F.least("f", "low").alias("f"))))
-    return found.select(F.col("v").alias("id"), F.col("f").alias("group_id"))
+    named = cut(members.where(F.col("id").isNotNull() & F.col("label").isNotNull()).select("id", "label").distinct())
+    number = cut(named.select("id").distinct().select("id", F.monotonically_increasing_id().alias("v")))
+    edges = cut(spokes(named.join(number, "id").select(F.col("v").alias("id"), "label")))
+    giant = peel(edges)
+    if giant is None:
+        return number.select("id", F.col("id").alias("group_id")).where("false")
+    rest = cut(edges.join(giant, F.col("a") == F.col("v"), "left_anti"))
+    roots = propagate_minima(rest).unionByName(giant.select("v", F.lit(-1).cast("bigint").alias("root")))
+    of = cut(number.join(roots, "v").select("id", "root"))
+    return of.join(of.groupBy("root").agg(F.min("id").alias("group_id")), "root").select("id", "group_id")
