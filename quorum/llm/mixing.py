@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quorum.operators.sizes import broadcast_if_small
+from quorum.session import cut
 
 TWO_52 = 1 << 52
 
@@ -26,7 +27,7 @@ def repetition_rates(sizes: DataFrame, weights: DataFrame, total_tokens: int | N
     the shares of the others are their weights over the sum of these. A source listed twice has the sum of
     its weights and the least max_repeats; null max_repeats is 1, less than 0 is 0.
     """
-    have = sizes.where(F.col("source").isNotNull()).groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("n_tokens").cast("bigint")).alias("n_tokens"))
+    have = cut(sizes.where(F.col("source").isNotNull()).groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("n_tokens").cast("bigint")).alias("n_tokens")))  # one row per source: the texts are counted once
     want = (
         weights.where(F.col("target_weight") > 0)
         .groupBy("source")
