@@ -16,23 +16,21 @@ from collections.abc import Iterator
 from math import log
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quorum.session import spread
+from quorum.session import cut, spread
 
 # Letters drawn alike, one look per word; the scripts are Latin, Greek, Cyrillic, Armenian, Cherokee.
 LOOKS = """
-aа cсϲᴄ eе hһ iі jјϳ oοоօ pрρ qԛ sѕ vνѵ wԝ xх yу dԁ lӏ kκк uս
-AΑАᎪ BΒВᏴ CСϹᏟ DᎠ EΕЕᎬ GԌᏀ HΗНᎻ IΙІӀ JЈͿᎫ KΚКᏦ LᏞ MΜМᎷ NΝ OΟОՕ PΡРᏢ QԚ RᏒ SЅՏᏚ TΤТᎢ UՍ VѴᏙ WԜᎳ XΧХ YΥҮУ ZΖᏃ
+aаα cсϲᴄ eе gց hһհ iі jјϳ nո oοоօ pрρ qԛ sѕ uսυ vνѵ wԝ xх yу dԁ lӏ κк æӕ əә
+AΑАᎪ BΒВᏴ CСϹᏟ DᎠ EΕЕᎬ GԌᏀ HΗНᎻ IΙІӀ JЈͿᎫ KΚКᏦ LᏞ MΜМᎷ NΝ OΟОՕ PΡРᏢ QԚ RᏒᎡ SЅՏᏚ TΤТᎢ UՍ VѴᏙ WԜᎳ XΧХ YΥҮУᎩ ZΖᏃ ÆӔ ƏӘ
 ΓГ ΠП ΦФ φф
-""".replace("kκк", "κк").split()
+""".split()
 # Marks drawn alike that normalization leaves apart, with the mark that stands for them.
-MARKS = {"‐": "-", "‑": "-", "﹣": "-", "։": ":", "׃": ":", "∶": ":", "⁄": "/", "∕": "/", "ǃ": "!", "‚": ","}
+MARKS = {"‐": "-", "‑": "-", "﹣": "-", "։": ":", "׃": ":", "∶": ":", "꞉": ":", "⁄": "/", "∕": "/", "ǃ": "!", "‚": ",", "ǀ": "|", "⋅": "·", "‧": "·"}
 # Scripts by the first word of a letter's Unicode name.
 SCRIPTS = ("LATIN", "GREEK", "CYRILLIC", "ARMENIAN", "CHEROKEE")
-#: rows of the bigram model: at most this many characters of the scripts, squared; the driver holds no more
-MOST_BIGRAMS = 4_000_000
 #: tokens remembered by a task; beyond that it forgets all and goes on
 REMEMBERED = 400_000
 SMOOTHING, CHANGE_OF_SCRIPT, OTHER_CONTEXT = 0.1, -12.0, -6.0
@@ -172,11 +170,9 @@ def bigram_counts(docs: DataFrame, text: Column) -> DataFrame:
 
 
 def fit_reader(docs: DataFrame, text: Column) -> Reader:
-    """A reader with the bigrams of all texts. They are bounded by the scripts' letters, not by the corpus."""
-    rows = bigram_counts(docs, text).limit(MOST_BIGRAMS + 1).collect()
-    if len(rows) > MOST_BIGRAMS:
-        raise ValueError("more letter bigrams than the scripts can have")
-    return Reader({(r.a, r.b): r.n for r in sorted(rows)})
+    """A reader with the bigrams of all texts. Their number is bounded by the letters of five scripts, not by the corpus; they come as Arrow columns."""
+    rows = bigram_counts(docs, text).toPandas().sort_values(["a", "b"])
+    return Reader(dict(zip(zip(rows["a"], rows["b"]), rows["n"].tolist())))
 
 
 def canonical_texts(docs: DataFrame, doc_id: Column, text: Column, reader: Reader) -> DataFrame:
@@ -191,13 +187,31 @@ def canonical_texts(docs: DataFrame, doc_id: Column, text: Column, reader: Reade
     return rows.mapInPandas(run, f"doc_id {kind}, text string, canonical string")
 
 
-def alike_pairs(canonical: DataFrame) -> DataFrame:
-    """id_1 < id_2 of documents with one canonical form and different texts; texts that show nothing do not count.
+def text_classes(canonical: DataFrame) -> DataFrame:
+    """doc_id, g, h: digests of the canonical form and of the text; texts that show nothing have no row."""
+    seen = F.length(F.regexp_replace("canonical", r"\s", "")) > 0
+    return canonical.where(seen).select("doc_id", F.unhex(F.sha2("canonical", 256)).alias("g"), F.unhex(F.sha2("text", 256)).alias("h"))
 
-    Only groups with two texts or more reach the pairing, and only digests are shuffled.
+
+def alike_members(classes: DataFrame) -> DataFrame:
+    """doc_id, form, text_no, n_texts, n_docs: of every document whose form occurs in more than one text, the form's digest, which of the form's texts it has, and how many there are.
+
+    One row per document, whatever the number of copies; the pairs that look alike are those of one form and two text_no.
+    """
+    w = Window.partitionBy("g")
+    texts = classes.groupBy("g", "h").agg(F.count(F.lit(1)).alias("n"))  # one row per distinct text, combined before the shuffle
+    several = texts.withColumns({"n_texts": F.count(F.lit(1)).over(w), "n_docs": F.sum("n").over(w), "text_no": F.row_number().over(w.orderBy("h"))}).where("n_texts > 1").drop("n")
+    return classes.join(several, ["g", "h"]).select("doc_id", F.lower(F.hex("g")).alias("form"), "text_no", "n_texts", "n_docs")
+
+
+def alike_pairs(classes: DataFrame) -> DataFrame:
+    """id_1 < id_2 of documents with one canonical form and different texts.
+
+    The different texts of a form are paired first, their documents are joined to these pairs, so that copies
+    of one text never meet each other.
     """
-    rows = canonical.where(F.length(F.regexp_replace("canonical", r"\s", "")) > 0).select("doc_id", F.unhex(F.sha2("canonical", 256)).alias("g"), F.unhex(F.sha2("text", 256)).alias("h"))
-    several = rows.groupBy("g", "h").agg(F.lit(1).alias("_")).groupBy("g").agg(F.count("_").alias("n")).where("n > 1").select("g")
-    members = rows.join(several, "g", "left_semi")
-    a, b = (members.select("g", F.col("doc_id").alias(f"id_{i}"), F.col("h").alias(f"h_{i}")) for i in (1, 2))
-    return a.join(b, "g").where("id_1 < id_2 AND h_1 <> h_2").select("id_1", "id_2").distinct()
+    texts = cut(classes.select("g", "h").distinct())
+    a, b = texts.withColumnRenamed("h", "h_1"), texts.withColumnRenamed("h", "h_2")
+    met = a.join(b, "g").where("h_1 < h_2").select("h_1", "h_2")
+    docs = [classes.select(F.col("doc_id").alias(f"x_{i}"), F.col("h").alias(f"h_{i}")) for i in (1, 2)]
+    return met.join(docs[0], "h_1").join(docs[1], "h_2").select(F.least("x_1", "x_2").alias("id_1"), F.greatest("x_1", "x_2").alias("id_2")).where("id_1 < id_2").distinct()

@@ -20,6 +20,11 @@ def p1_confidence(spark: SparkSession, d: str) -> DataFrame:
     return matching.found(*matching.match_across_sources(table(spark, d, "dummy_data_elected")))
 
 
+def p1_members(spark: SparkSession, d: str) -> DataFrame:
+    """One row per record, with its class and how many classes of other sources it matches."""
+    return matching.members_of(*matching.match_across_sources(table(spark, d, "dummy_data_elected")))
+
+
 # ---- problem 2: variant spellings of names typed by people
 
 
@@ -27,6 +32,11 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return variants.pairs_of(*variants.same_person(table(spark, d, "dummy_data")))
 
 
+def p2_persons(spark: SparkSession, d: str) -> DataFrame:
+    """One row per record with a surname, with its person."""
+    return variants.persons_of(*variants.same_person(table(spark, d, "dummy_data")))
+
+
 # ---- problem 4: consolidating pairwise matches into groups
 
 
@@ -89,8 +99,17 @@ def _canonical(spark: SparkSession, d: str) -> DataFrame:
     return lookalikes.canonical_texts(docs, F.col("doc_id"), F.col("text"), lookalikes.fit_reader(docs, F.col("text")))
 
 
+def _text_classes(spark: SparkSession, d: str) -> DataFrame:
+    return cut(lookalikes.text_classes(_canonical(spark, d)))  # the corpus is read in looks once
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
-    return lookalikes.alike_pairs(_canonical(spark, d))
+    return lookalikes.alike_pairs(_text_classes(spark, d))
+
+
+def p10_members(spark: SparkSession, d: str) -> DataFrame:
+    """One row per document that looks like a different text, with its class."""
+    return lookalikes.alike_members(_text_classes(spark, d))
 
 
 def p10_canonical(spark: SparkSession, d: str) -> DataFrame:
@@ -98,7 +117,7 @@ def p10_canonical(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p1_found": p1_found, "p1_confidence": p1_confidence, "p2_found": p2_found, "p4_found": p4_found, "p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_canonical": p10_canonical}
+    return {"p1_found": p1_found, "p1_confidence": p1_confidence, "p1_members": p1_members, "p2_found": p2_found, "p2_persons": p2_persons, "p4_found": p4_found, "p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_members": p10_members, "p10_canonical": p10_canonical}
 
 
 def oracle_sql() -> dict[str, str]:

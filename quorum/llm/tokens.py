@@ -5,6 +5,7 @@ recursive query joins neighbouring rows with the merge table and contracts, in e
 rank until no pair is left, and an ordered aggregation turns the rows back into one list of ids per word.
 A round contracts all non-overlapping places of the word's least pair, from the left. That equals contracting
 them one by one: a merge's product is younger than the merge, so no contraction can create a pair of lower rank.
+Long words are contracted in pieces, which are joined where that changes nothing.
 The vocabulary's path is a parameter; the file is read by the workers and never shipped with the code.
 """
 
@@ -22,8 +23,10 @@ from quorum.session import spread
 
 #: words of one recursive query; bounds DuckDB's memory in a task
 WORDS_A_QUERY = 20_000
-#: rows of one recursive query, so that very long words go alone
-ROWS_A_QUERY = 400_000
+#: rows of one recursive query; with LONG this bounds the rows of all its rounds
+ROWS_A_QUERY = 200_000
+#: bytes above which a word is contracted in pieces, and of a piece
+LONG, PIECE = 128, 64
 #: words remembered by a task; beyond that it forgets all and goes on
 REMEMBERED_WORDS = 300_000
 
@@ -85,17 +88,19 @@ class Contractor:
         model = json.loads(open(path, encoding="utf-8").read())["model"]
         ids = model["vocab"]
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        byte_of = {c: b for b, c in enumerate(_characters_of_bytes())}
         self.byte_ids = np.array([ids[c] for c in _characters_of_bytes()], dtype=np.int32)
         self.words = regex.compile(public_tokenizers.PATTERN).findall
-        self.known: dict[str, np.ndarray] = {}
-        self.db = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": "400MB", "preserve_insertion_order": "false"})
+        self.bytes_of = {i: bytes(byte for c in t if (byte := byte_of.get(c)) is not None) for t, i in ids.items()}
+        self.known: dict[bytes, np.ndarray] = {}
+        self.db = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": "600MB", "temp_directory": "", "preserve_insertion_order": "false"})
         merges = pd.DataFrame({"a": [ids[a] for a, _ in pairs], "b": [ids[b] for _, b in pairs], "new": [ids[a + b] for a, b in pairs], "rank": range(len(pairs))}).astype("int32")
         self.db.register("merges_frame", merges)
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merges_frame")
         self.db.unregister("merges_frame")
 
-    def _contract(self, words: list[str]) -> None:
-        raw = [np.frombuffer(w.encode("utf-8", "replace"), dtype=np.uint8) for w in words]
+    def _contract(self, words: list[bytes]) -> None:
+        raw = [np.frombuffer(w, dtype=np.uint8) for w in words]
         sizes = np.array([len(x) for x in raw])
         pos = np.arange(sizes.sum(), dtype=np.int32) - np.repeat(np.cumsum(sizes) - sizes, sizes).astype(np.int32)
         base = pd.DataFrame({"wid": np.repeat(np.arange(len(words), dtype=np.int32), sizes), "pos": pos, "tok": self.byte_ids[np.concatenate(raw)]})
@@ -104,9 +109,7 @@ class Contractor:
             self.known[words[wid]] = np.array(ids, dtype=np.int32)
         self.db.unregister("base")
 
-    def learn(self, words: Iterable[str]) -> None:
-        if len(self.known) > REMEMBERED_WORDS:
-            self.known.clear()
+    def learn(self, words: Iterable[bytes]) -> None:
         some, rows = [], 0
         for w in words:
             if w in self.known:
@@ -119,9 +122,54 @@ class Contractor:
         if some:
             self._contract(some)
 
+    def _bytes(self, ids: np.ndarray) -> bytes:
+        return b"".join(self.bytes_of[i] for i in ids)
+
+    def learn_long(self, words: list[bytes]) -> None:
+        """Words of any length, from pieces that are joined where the two tokens at the joint stay apart when contracted together.
+
+        A list of tokens is the contraction of its bytes if and only if every two neighbours are that of theirs.
+        Where they are not, some tokens on both sides are contracted anew, more in every round.
+        """
+        if not words:
+            return
+        parts = {w: [w[i : i + PIECE] for i in range(0, len(w), PIECE)] for w in words}
+        self.learn(dict.fromkeys(x for p in parts.values() for x in p))
+        open_ = {w: [self.known[x] for x in p] for w, p in parts.items()}
+        wide = 2
+        while open_:
+            joints = {w: [self._bytes((x[-1], y[0])) for x, y in zip(p, p[1:])] for w, p in open_.items()}
+            self.learn(dict.fromkeys(j for js in joints.values() for j in js))
+            again: dict[str, list] = {}
+            for w, p in open_.items():
+                done = [p[0]]  # a contracted piece is an array, one to be contracted anew is bytes
+                for j, y in zip(joints[w], p[1:]):
+                    x = done[-1]
+                    if isinstance(x, bytes):  # its right side was taken already
+                        done.append(y)
+                    elif len(self.known[j]) == 2 and self.known[j][0] == x[-1] and self.known[j][1] == y[0]:
+                        done[-1] = np.concatenate([x, y])
+                    else:
+                        done[-1:] = [z for z in (x[:-wide], self._bytes(np.concatenate([x[-wide:], y[:wide]])), y[wide:]) if len(z)]
+                again[w] = done
+            fresh = [x for p in again.values() for x in p if isinstance(x, bytes)]
+            self.learn(x for x in dict.fromkeys(fresh) if len(x) <= LONG or x in open_)
+            self.learn_long([x for x in dict.fromkeys(fresh) if len(x) > LONG and x not in self.known])
+            for w, p in again.items():
+                p = [self.known.get(x) if isinstance(x, bytes) else x for x in p]
+                open_[w] = p
+                if len(p) == 1:
+                    self.known[w] = p[0]
+            open_ = {w: p for w, p in open_.items() if len(p) > 1}
+            wide *= 2
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self.words(t) for t in texts]
-        self.learn(dict.fromkeys(w for ws in split for w in ws))
+        split = [[w.encode("utf-8", "replace") for w in self.words(t)] for t in texts]
+        if len(self.known) > REMEMBERED_WORDS:
+            self.known.clear()
+        distinct = dict.fromkeys(w for ws in split for w in ws)
+        self.learn(w for w in distinct if len(w) <= LONG)
+        self.learn_long([w for w in distinct if len(w) > LONG and w not in self.known])
         none = np.empty(0, dtype=np.int32)
         return [np.concatenate([self.known[w] for w in ws]) if ws else none for ws in split]
 
@@ -165,7 +213,7 @@ def decode_corpus(encoded: DataFrame, vocabulary: str | None = None, batch_rows:
                 ids = json.loads(open(path, encoding="utf-8").read())["model"]["vocab"]
                 byte_of = {c: b for b, c in enumerate(_characters_of_bytes())}
                 pieces = pd.DataFrame([(i, bytes(byte_of[c] for c in t).hex()) for t, i in ids.items() if all(c in byte_of for c in t)], columns=["id", "piece"])
-                db = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": "400MB"})
+                db = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": "600MB", "temp_directory": ""})
                 db.register("pieces_frame", pieces)
                 db.execute("CREATE TABLE pieces AS SELECT * FROM pieces_frame")
             for at in range(0, len(f), batch_rows):

@@ -33,6 +33,14 @@ def test_encoding_equals_the_library(spark, reference):
     assert sorted((r.doc_id, r.ids) for r in got) == [(i, reference(t)) for i, t in enumerate(texts)]
 
 
+def test_long_words_equal_the_library(reference):
+    rng = random.Random(3)
+    draw = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    work = tokens.Contractor(tokens.default_vocabulary())
+    for word in [draw("abcdefghijklmnopqrstuvwxyz", 20_000), "ab" * 5000, draw("ab", 4000), draw("étation", 3000), "東京" * 900, "the" * 900 + "internationalization" * 99]:
+        assert work.encode([word])[0].tolist() == reference(word)
+
+
 def test_round_trip_and_repeated_ids(spark):
     df = documents(spark, TEXTS).unionAll(documents(spark, TEXTS))
     enc = tokens.encode_corpus(df, F.col("doc_id"), F.col("text"), batch_rows=5)
@@ -105,7 +113,7 @@ def reader(spark, small):
 
 ALIKE = [
     ("Council vote", "Ｃｏｕｎｃｉｌ　ｖｏｔｅ"), ("office", "oﬃce"), ("café", "café"), ("a b", "a b"), ("a b", "a　b"), ("election", "elec​tion"), ("election", "e­lection﻿"),
-    ("scope", "ѕсоре"), ("HOME", "НОМЕ"), ("a-b", "a‑b"), ("a-b", "a‐b"), ("x; y", "x; y"), ("K", "K"), ("ё", "ë"), ("line\nend", "line\r\nend"), ("bell", "b\x07ell"), ("한", "한"),
+    ("scope", "ѕсоре"), ("HOME", "НОМЕ"), ("a-b", "a‑b"), ("a-b", "a‐b"), ("x; y", "x; y"), ("K", "K"), ("ё", "ë"), ("line\nend", "line\r\nend"), ("bell", "b\x07ell"), ("ælf", "ӕlf"), ("ə", "ә"), ("noon", "ոooո"), ("a|b", "aǀb"), ("a:b", "a꞉b"), ("a·b", "a⋅b"), ("vote", "vοtе"), ("alarm", "αlαrm"), ("한", "한"),
 ]
 DIFFERENT = [("Vote", "vote"), ("café", "cafe"), ("O", "0"), ("l", "1"), ("a b", "a  b"), ("rn", "m"), ("\U0001f469‍\U0001f3eb", "\U0001f469\U0001f3eb"), ("a-b", "a—b"), ("п", "n"), ("I", "l")]
 
@@ -140,9 +148,13 @@ def test_viterbi_takes_the_best_path(reader):
 
 
 def test_pairs_against_brute_force(spark, reader):
+    classes = lambda x: lookalikes.text_classes(lookalikes.canonical_texts(documents(spark, x), F.col("doc_id"), F.col("text"), reader))
     texts = ["scope", "sсоре", "scope", "Scope", None, "", "​", " ​ ", " ", "ｓｃｏｐｅ", "x" * 9000, "х" * 9000]
-    got = {(r.id_1, r.id_2) for r in lookalikes.alike_pairs(lookalikes.canonical_texts(documents(spark, texts), F.col("doc_id"), F.col("text"), reader)).collect()}
+    got = {(r.id_1, r.id_2) for r in lookalikes.alike_pairs(classes(texts)).collect()}
     form = [unicodedata.normalize("NFC", reader.canonical(t)) if t else "" for t in texts]
     want = {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if texts[i] != texts[j] and form[i] == form[j] and form[i].strip()}
     assert got == want == {(0, 1), (0, 9), (1, 2), (1, 9), (2, 9), (10, 11)}
-    assert lookalikes.alike_pairs(lookalikes.canonical_texts(documents(spark, texts).limit(0), F.col("doc_id"), F.col("text"), reader)).count() == 0
+    assert lookalikes.alike_pairs(classes([])).count() == 0
+    member = {r.doc_id: (r.form, r.text_no, r.n_texts, r.n_docs) for r in lookalikes.alike_members(classes(texts)).collect()}
+    assert {(i, j) for i in member for j in member if i < j and member[i][0] == member[j][0] and member[i][1] != member[j][1]} == want
+    assert member[0][2:] == (3, 4) and member[10][2:] == (2, 2)
