@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quorum.llm import metric, names, variants
-from quorum.operators.sizes import broadcast_if_small
 from quorum.session import cut
 
 FEATURES = ["s_name", "s_given", "s_office", "s_seat", "s_contact"]
@@ -23,11 +22,11 @@ GIVEN = {3: 1.0, 2: 0.95, 1: 0.75, 0: 0.0}
 UNKNOWN = 0.7
 #: added to the variances; share by which covariances shrink to their diagonal
 RIDGE, SHRINK = 0.02, 0.2
-PLAIN_STEPS, CONSTRAINED_STEPS, MATCHED = 20, 3, 0.5
+MATCHED = 0.5
+#: steps end when no posterior moves by more than this, or, should they swing, after so many
+STILL, MOST_PLAIN, MOST_CONSTRAINED = 1e-3, 200, 4
 #: legs below this cannot break transitivity; a third side below VETO lowers a leg instead of being raised
 LEG, VETO = 0.3, 0.05
-#: the patterns' number is bounded by the levels of the features
-MOST_PATTERNS = 20_000
 COMPARED = ["body", "seat", *variants.GIVEN, "email", "phone"]
 
 
@@ -57,8 +56,7 @@ class Mixture:
 
 def _classes(parts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(members: unique_id, cls; classes): rows alike in every compared part are one class."""
-    used = parts.select("surname", F.explode(F.array_compact(F.array("email", "phone"))).alias("contact")).distinct().groupBy("contact").agg(F.count(F.lit(1)).alias("n"))
-    common = broadcast_if_small(used.where(F.col("n") > variants.SHARED).select("contact"))  # placeholders
+    common = cut(variants.placeholders(parts))
     own = parts.where(F.col("surname") != "")
     for c in ("email", "phone"):
         own = own.join(common.select(F.col("contact").alias(f"_{c}")), F.col(c) == F.col(f"_{c}"), "left").withColumn(c, F.when(F.col(f"_{c}").isNull(), F.col(c))).drop(f"_{c}")
@@ -87,7 +85,7 @@ def _rest_of_vector() -> list[Column]:
     ]
 
 
-def candidate_pairs(cls: DataFrame) -> DataFrame:
+def candidate_pairs(cls: DataFrame, relations: DataFrame) -> DataFrame:
     """a_cls, b_cls, a_source, b_source and the similarities of all classes of different sources in one place with surnames within two edits."""
     keys = cls.select(F.concat_ws("|", "state", "place").alias("grp"), F.explode(variants.surname_keys("surname", "surname_parts")).alias("k"))
     near = cut(metric.radius_join(keys.select("grp", F.col("k.key").alias("name")), variants.RADIUS))
@@ -111,31 +109,33 @@ def candidate_pairs(cls: DataFrame) -> DataFrame:
         *_rest_of_vector(),
     )
     best = F.max_by(F.struct(*FEATURES), F.col("s_name")).alias("f")
-    return scored.groupBy("a_cls", "b_cls", "a_source_name", "b_source_name").agg(best).select("a_cls", "b_cls", "a_source_name", "b_source_name", "f.*")
+    pairs = cut(scored.groupBy("a_cls", "b_cls", "a_source_name", "b_source_name").agg(best).select("a_cls", "b_cls", "a_source_name", "b_source_name", "f.*"))
+    rest = variants.related_rest(pairs.where("s_given = 0"), cls, relations).withColumn("_known", F.lit(GIVEN[2]))
+    return pairs.join(rest, ["a_cls", "b_cls"], "left").withColumn("s_given", F.coalesce("_known", "s_given")).drop("_known")
 
 
-def _wedges(pairs: DataFrame) -> DataFrame:
+def _wedges(legs: DataFrame) -> DataFrame:
     """mid, x < z, their sources and gammas: two legs that meet, with ends of different sources."""
-    legs = pairs.where(F.col("gamma") > LEG)
     ends = legs.select(F.col("a_cls").alias("mid"), F.col("b_cls").alias("end"), F.col("b_source_name").alias("src"), "gamma").unionByName(legs.select(F.col("b_cls").alias("mid"), F.col("a_cls").alias("end"), F.col("a_source_name").alias("src"), "gamma"))
     l, r = ends.toDF("mid", "x", "x_src", "g1"), ends.toDF("mid2", "z", "z_src", "g2")
     return l.join(r, (F.col("mid") == F.col("mid2")) & (F.col("x") < F.col("z")) & (F.col("x_src") != F.col("z_src"))).drop("mid2")
 
 
 def _implied(pairs: DataFrame, cls: DataFrame) -> DataFrame:
-    """Pairs that transitivity implies but that were no candidates (surnames misspelled on both sides); the rest of them must not disagree."""
+    """Pairs that transitivity implies but that were no candidates (surnames misspelled on both sides), with their similarities."""
     known = pairs.select(F.col("a_cls").alias("x"), F.col("b_cls").alias("z"))
-    new = _wedges(pairs).join(known, ["x", "z"], "left_anti").groupBy(F.col("x").alias("a_cls"), F.col("z").alias("b_cls")).agg(F.max(F.col("g1") * F.col("g2")).alias("gamma"))
-    a, b = (cls.select(*[F.col(c).alias(f"{s}_{c}") for c in ("cls", "source_name", *COMPARED)]) for s in "ab")
-    rest = new.join(a, "a_cls").join(b, "b_cls").select("a_cls", "b_cls", "a_source_name", "b_source_name", F.lit(0.0).alias("s_name"), *_rest_of_vector(), "gamma")
-    return rest
+    new = _wedges(pairs.where(F.col("gamma") > LEG)).join(known, ["x", "z"], "left_anti").select(F.col("x").alias("a_cls"), F.col("z").alias("b_cls")).distinct()
+    a, b = (cls.select(*[F.col(c).alias(f"{s}_{c}") for c in ("cls", "source_name", "surname", *COMPARED)]) for s in "ab")
+    edits = F.when(variants.transposed(F.col("a_surname"), F.col("b_surname")), 1).otherwise(F.levenshtein("a_surname", "b_surname"))
+    near = F.round(1 - edits / F.greatest(F.length("a_surname"), F.length("b_surname"), F.lit(1)), 2)
+    return new.join(a, "a_cls").join(b, "b_cls").select("a_cls", "b_cls", "a_source_name", "b_source_name", near.alias("s_name"), *_rest_of_vector())
 
 
 def _transitive(pairs: DataFrame) -> DataFrame:
     """pairs (a_cls, b_cls, sources, gamma, ...) with gamma changed as little as makes every triangle consistent once."""
-    wedges = _wedges(pairs)
+    wedges = _wedges(pairs.where(F.col("gamma") > LEG))
     third = pairs.select(F.col("a_cls").alias("x"), F.col("b_cls").alias("z"), F.col("gamma").alias("g3"))
-    broken = wedges.join(third, ["x", "z"]).where(F.col("g1") * F.col("g2") > F.col("g3") + 1e-6)
+    broken = cut(wedges.join(third, ["x", "z"]).where(F.col("g1") * F.col("g2") > F.col("g3") + 1e-6))
     raised = broken.where(F.col("g3") >= VETO).groupBy(F.col("x").alias("a_cls"), F.col("z").alias("b_cls")).agg(F.max(F.col("g1") * F.col("g2")).alias("up"))
     weak = F.when(F.col("g1") < F.col("g2"), F.col("x")).otherwise(F.col("z"))
     down = broken.where((F.col("g3") < VETO) & (F.col("g1") != F.col("g2"))).select(F.least("mid", weak).alias("a_cls"), F.greatest("mid", weak).alias("b_cls"), (F.col("g3") / F.greatest("g1", "g2")).alias("down")).groupBy("a_cls", "b_cls").agg(F.min("down").alias("down"))
@@ -143,42 +143,67 @@ def _transitive(pairs: DataFrame) -> DataFrame:
     return joined.withColumn("gamma", F.least(F.greatest("gamma", "up"), F.col("down"))).drop("up", "down")
 
 
+class _Patterns:
+    """The distinct vectors, how many pairs have each, and their posteriors. Similarities are rounded, so their number is bounded by the levels."""
+
+    def __init__(self, pairs: DataFrame) -> None:
+        rows = pairs.groupBy(*FEATURES).agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values(FEATURES).reset_index(drop=True)
+        self.rows, self.x, self.n = rows[FEATURES], rows[FEATURES].to_numpy(float), rows["n"].to_numpy(float)
+        # constraint within the pair: a contradicting given name, office or seat cannot be a match
+        self.free = (self.x[:, 1:4].min(axis=1, initial=1.0) > 0).astype(float)
+
+    def step(self, gamma: np.ndarray) -> np.ndarray:
+        return Mixture(self.x, self.n, gamma).posterior(self.x) * self.free
+
+    def with_gamma(self, pairs: DataFrame, gamma: np.ndarray) -> DataFrame:
+        table = pairs.sparkSession.createDataFrame(self.rows.assign(gamma=gamma))
+        return pairs.join(F.broadcast(table), FEATURES)  # patterns, not pairs
+
+    def averaged(self, held: DataFrame) -> np.ndarray:
+        return held.groupBy(*FEATURES).agg(F.avg("gamma").alias("g")).toPandas().sort_values(FEATURES)["g"].to_numpy(float)
+
+
 def match_across_sources(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(members: unique_id, cls; pairs: a_cls, b_cls, similarities, confidence).
 
     Rows alike in every compared part are one class, so copies are compared once. Null names give no pair;
-    repeated unique_ids count once; an empty table gives empty results. confidence is the posterior after the
-    constraints.
+    repeated unique_ids count once; an empty table gives empty results. confidence is the posterior of the
+    last step under the constraints; pairs that transitivity implies take part in the constrained steps.
     """
     parts = cut(variants.snapped_places(cut(names.parts_of_records(records, names.learn_vocabulary(records)))))
     member, cls = _classes(parts)
-    pairs = cut(candidate_pairs(cls))
-    counted = pairs.groupBy(*FEATURES).agg(F.count(F.lit(1)).alias("n")).limit(MOST_PATTERNS + 1).toPandas()
-    if len(counted) > MOST_PATTERNS:
-        raise ValueError("more patterns than the similarities have levels")
-    if counted.empty:
+    pairs = cut(candidate_pairs(cls, cut(names.rare_relations(records))))
+    seen = _Patterns(pairs)
+    if not len(seen.n):
         return member, pairs.select("a_cls", "b_cls", *FEATURES, F.lit(None).cast("double").alias("confidence"))
-    counted = counted.sort_values(FEATURES).reset_index(drop=True)
-    x, n = counted[FEATURES].to_numpy(float), counted["n"].to_numpy(float)
-    gamma = (x.min(axis=1) >= UNKNOWN).astype(float)  # start: nothing disagrees
-    spark = records.sparkSession
-
-    def with_gamma(g: np.ndarray) -> DataFrame:
-        table = spark.createDataFrame(counted[FEATURES].assign(gamma=g))
-        return pairs.join(F.broadcast(table), FEATURES)  # at most MOST_PATTERNS rows
-
-    for _ in range(PLAIN_STEPS):
-        gamma = Mixture(x, n, gamma).posterior(x)
-    for _ in range(CONSTRAINED_STEPS):
-        held = _transitive(with_gamma(gamma)).groupBy(*FEATURES).agg(F.avg("gamma").alias("g")).toPandas().sort_values(FEATURES)
-        gamma = Mixture(x, n, held["g"].to_numpy(float)).posterior(x)
-    held = cut(_transitive(with_gamma(gamma)))
-    final = cut(held.unionByName(_implied(held, cls)).withColumnRenamed("gamma", "confidence"))
-    return member, final.select("a_cls", "b_cls", *FEATURES, "confidence")
+    gamma = (seen.x.min(axis=1) >= UNKNOWN).astype(float)  # start: nothing disagrees
+    for _ in range(MOST_PLAIN):
+        before, gamma = gamma, seen.step(gamma)
+        if np.abs(gamma - before).max() < STILL:
+            break
+    implied = _implied(seen.with_gamma(pairs, gamma), cls)
+    mixture, pairs = Mixture(seen.x, seen.n, gamma), cut(pairs.unionByName(implied))
+    seen = _Patterns(pairs)
+    gamma = mixture.posterior(seen.x) * seen.free
+    for _ in range(MOST_CONSTRAINED):
+        held = cut(_transitive(seen.with_gamma(pairs, gamma)))
+        before, gamma = gamma, seen.step(seen.averaged(held))
+        if np.abs(gamma - before).max() < STILL:
+            break
+    held = _transitive(seen.with_gamma(pairs, gamma)).withColumnRenamed("gamma", "confidence")
+    return member, cut(held).select("a_cls", "b_cls", *FEATURES, "confidence")
 
 
 def found(member: DataFrame, pairs: DataFrame, threshold: float = MATCHED) -> DataFrame:
-    """id_1 < id_2 and confidence of the records of matched classes; a contradicting given name, office or seat is no match."""
-    sure = pairs.where((F.col("confidence") >= threshold) & (F.least("s_given", "s_office", "s_seat") > 0))
+    """id_1 < id_2 and confidence of the records of matched classes."""
+    sure = pairs.where(F.col("confidence") >= threshold)
     a, b = member.select(F.col("unique_id").alias("x"), F.col("cls").alias("a_cls")), member.select(F.col("unique_id").alias("y"), F.col("cls").alias("b_cls"))
     return sure.join(a, "a_cls").join(b, "b_cls").select(F.least("x", "y").alias("id_1"), F.greatest("x", "y").alias("id_2"), "confidence")
+
+
+def members_of(member: DataFrame, pairs: DataFrame, threshold: float = MATCHED) -> DataFrame:
+    """unique_id, cls, n_classes, confidence: one row per record, with its class and the matched classes of other sources; the best confidence, null without."""
+    sure = pairs.where(F.col("confidence") >= threshold)
+    ends = sure.select(F.col("a_cls").alias("cls"), "confidence").unionByName(sure.select(F.col("b_cls").alias("cls"), "confidence"))
+    per = ends.groupBy("cls").agg(F.count(F.lit(1)).alias("n_classes"), F.max("confidence").alias("confidence"))
+    return member.join(per, "cls", "left").select("unique_id", "cls", F.coalesce("n_classes", F.lit(0)).alias("n_classes"), "confidence")

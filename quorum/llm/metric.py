@@ -2,9 +2,10 @@
 
 The names of a group are assigned to the nearest of sampled pivots. By the triangle inequality every name
 within radius r of a name whose nearest pivot is p has a distance to p of at most its own nearest distance
-plus 2r, so names are replicated to those cells and a join inside each cell finds every pair. The metric is
-Levenshtein's. Large cells are cut into blocks of homes and of visitors that all meet, so that no task holds
-more than a block pair, whatever the size of a group.
+plus 2r, so names are replicated to those cells and an exact join inside each cell finds every pair. The
+metric is Levenshtein's. In a cell of one block all meet; in a larger one those meet that become equal when
+up to r letters are left out of each, as all pairs within r do, so that the cost of a cell grows with its
+names and not with their square. Names too long for that meet in blocks.
 """
 
 from __future__ import annotations
@@ -14,8 +15,10 @@ from pyspark.sql import functions as F
 
 from quorum.session import cut
 
-#: names for which one pivot is sampled, most pivots of a group, and names in a block
-CELL, MOST_PIVOTS, BLOCK = 256, 64, 1024
+#: a group of n names has the root of n / CELL pivots; names in a block
+CELL, BLOCK = 256, 1024
+#: letters up to which a name's forms with letters left out are made in large cells
+KEYED = 32
 
 
 def _unit(*cols: str) -> Column:
@@ -31,7 +34,7 @@ def radius_join(names: DataFrame, radius: int) -> DataFrame:
     n = names.where(F.col("grp").isNotNull() & F.col("name").isNotNull()).select("grp", "name").distinct()
     n = cut(n)
     sizes = n.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("name").alias("h"), F.col("name").alias("name"))).getField("name").alias("least"))
-    want = F.least(F.ceil(F.col("n") / CELL), F.lit(MOST_PIVOTS))
+    want = F.ceil(F.sqrt(F.col("n") / CELL))
     sampled = n.join(sizes.where(F.col("n") > CELL), "grp").where((_unit("name") < want / F.col("n")) | (F.col("name") == F.col("least"))).select("grp", F.col("name").alias("pivot"))
     only = sizes.where(F.col("n") <= CELL).select("grp", F.col("least").alias("pivot"))
     near = n.join(sampled, "grp").withColumn("d", F.levenshtein("name", "pivot"))
@@ -40,15 +43,43 @@ def radius_join(names: DataFrame, radius: int) -> DataFrame:
     single = n.join(only, "grp").select("grp", "name", "pivot", F.levenshtein("name", "pivot").alias("d"), F.lit(True).alias("is_home"))
     placed = cut(cells.unionByName(single))
     counts = placed.groupBy("grp", "pivot").agg(F.ceil(F.count_if("is_home") / BLOCK).cast("int").alias("hb"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("vb"))
-    sized = placed.join(counts, ["grp", "pivot"])
+    sized = placed.join(counts.where("hb > 0"), ["grp", "pivot"])
+    large, long = F.col("vb") > 1, F.length("name") > KEYED
+    pairs = _in_blocks(sized.where(~large), radius).unionByName(_in_blocks(sized.where(large & long), radius)).unionByName(_by_keys(sized.where(large & (F.length("name") <= KEYED + radius)), radius))
+    return pairs.select("grp", F.least("x", "y").alias("name_a"), F.greatest("x", "y").alias("name_b"), F.levenshtein("x", "y").alias("distance")).distinct()
+
+
+def _close(radius: int) -> Column:
+    """Names x and y within the radius. The triangle inequality once more: their distances to the pivot differ by the radius at most."""
+    return (F.abs(F.col("dx") - F.col("dy")) <= radius) & (F.abs(F.length("x") - F.length("y")) <= radius) & (F.col("x") != F.col("y")) & (~F.col("y_home") | (F.col("x") < F.col("y"))) & (F.levenshtein("x", "y", radius) >= 0)
+
+
+def _in_blocks(sized: DataFrame, radius: int) -> DataFrame:
+    """grp, x, y of the homes x and names y of a cell, which meet in blocks so that no task holds more than a block pair."""
     block = lambda k: F.pmod(F.xxhash64("name"), F.col(k)).cast("int")
     spread = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
     homes = sized.where("is_home").select("grp", "pivot", F.col("name").alias("x"), F.col("d").alias("dx"), block("hb").alias("h"), spread("vb").alias("v"))
-    visitors = sized.where("hb > 0").select("grp", "pivot", F.col("name").alias("y"), F.col("d").alias("dy"), F.col("is_home").alias("y_home"), block("vb").alias("v"), spread("hb").alias("h"))
-    # the triangle inequality once more: distances to the pivot of close names differ by the radius at most
-    close = (F.abs(F.col("dx") - F.col("dy")) <= radius) & (F.abs(F.length("x") - F.length("y")) <= radius) & (F.levenshtein("x", "y", radius) >= 0)
-    met = homes.join(visitors, ["grp", "pivot", "h", "v"]).where((F.col("x") != F.col("y")) & (~F.col("y_home") | (F.col("x") < F.col("y"))) & close)
-    return met.select("grp", F.least("x", "y").alias("name_a"), F.greatest("x", "y").alias("name_b"), F.levenshtein("x", "y").alias("distance")).distinct()
+    visitors = sized.select("grp", "pivot", F.col("name").alias("y"), F.col("d").alias("dy"), F.col("is_home").alias("y_home"), block("vb").alias("v"), spread("hb").alias("h"))
+    return homes.join(visitors, ["grp", "pivot", "h", "v"]).where(_close(radius)).select("grp", "x", "y")
+
+
+def without_letters(name: Column, most: int) -> Column:
+    """The name and its forms with up to ``most`` letters left out."""
+    out = last = F.array(name)
+    for _ in range(most):
+        less = lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.length(w), F.lit(1))), lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, F.length(w))))
+        last = F.array_distinct(F.flatten(F.transform(last, less)))
+        out = F.array_distinct(F.concat(out, last))
+    return out
+
+
+def _by_keys(sized: DataFrame, radius: int) -> DataFrame:
+    """grp, x, y of the homes x and names y of a cell that have a form with letters left out in common."""
+    keyed = sized.select("grp", "pivot", "name", "d", "is_home", F.explode(without_letters(F.col("name"), radius)).alias("k")).withColumn("k", F.xxhash64("grp", "pivot", "k"))
+    homes = keyed.where("is_home").select("k", "grp", "pivot", F.col("name").alias("x"), F.col("d").alias("dx"))
+    visitors = keyed.select("k", F.col("grp").alias("y_grp"), F.col("pivot").alias("y_pivot"), F.col("name").alias("y"), F.col("d").alias("dy"), F.col("is_home").alias("y_home"))
+    same_cell = (F.col("grp") == F.col("y_grp")) & (F.col("pivot") == F.col("y_pivot"))
+    return homes.join(visitors, "k").where(same_cell & _close(radius)).select("grp", "x", "y")
 
 
 def snap_to_frequent(words: DataFrame, radius: int = 2, times: int = 4) -> DataFrame:

@@ -12,12 +12,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: a first name is in the vocabulary if it heads this share of the alias lists, so there are at most 1 / SHARE names
+from quorum.functions.civic import OFFICE_STOP_WORDS
+
+#: a first name is in the vocabulary if it heads this share of the alias lists, so there are at most 1 / SHARE names;
+#: what lists tell of the other names is joined as a table (``rare_relations``)
 SHARE, LEAST_LISTS = 1 / 5000, 2
-#: two names are related if this share of the lists headed by one has the other, so a name has at most 1 / RELATED partners
+#: two names of the vocabulary are related if this share of the lists headed by one has the other, so a name has at most 1 / RELATED partners
 RELATED = 0.03
 #: a name within one edit of one that is this much more frequent is its misspelling
 TYPO = 8
+#: words and offices remembered by a task; beyond that it forgets all and goes on
+REMEMBERED = 200_000
 
 # Words around names.
 TITLES = "dr rev mr mrs ms hon prof".split()
@@ -25,12 +30,15 @@ SUFFIXES = "jr sr ii iii iv phd esq md".split()
 PARTICLES = "de la del der den di da du le van von st sta san mc mac o".split()
 # Wordings of offices, the first that occurs decides.
 BODIES = [
-    ("treasurer", r"\btreas"), ("clerk", r"\bclerk\b"), ("mayor", r"\bmayor\b"), ("fire", r"\bfire\b|\bfpd\b"), ("school", r"\bsch(?:ool)?s?\b|\beducation\b"), ("park", r"\bparks?\b"),
-    ("township", r"\btwp\b|\btownship\b"), ("village", r"\bvillage\b"), ("council", r"\bcouncil\b|\bcncl\b|\bcounsel\b|\balderperson\b"), ("county", r"\bcounty\b|\bco\b|\bcommissioner\b|\bsupervisors?\b"),
+    ("treasurer", r"\btreas"), ("clerk", r"\bclerk\b"), ("mayor", r"\bmayor\b"), ("sheriff", r"\bsheriff\b"), ("judge", r"\bjudges?\b|\bmagistrate\b|\bjustice\b|\bcourt\b"), ("assessor", r"\bassessor\b"),
+    ("recorder", r"\brecorder\b|\bregister\b"), ("coroner", r"\bcoroner\b"), ("auditor", r"\bauditor\b|\bcomptroller\b|\bcontroller\b"), ("surveyor", r"\bsurveyor\b"), ("constable", r"\bconstable\b|\bmarshal\b"),
+    ("attorney", r"\battorney\b|\bprosecutor\b"), ("library", r"\blibrary\b"), ("water", r"\bwater\b|\birrigation\b|\bsanitary\b|\bsewer\b"), ("hospital", r"\bhospital\b|\bhealth\b"),
+    ("fire", r"\bfire\b|\bfpd\b"), ("school", r"\bsch(?:ool)?s?\b|\beducation\b"), ("park", r"\bparks?\b"), ("township", r"\btwp\b|\btownship\b"), ("village", r"\bvillage\b"),
+    ("council", r"\bcouncil\b|\bcncl\b|\bcounsel\b|\balderperson\b|\bcouncil(?:man|woman|member|or)\b|\balder(?:man|woman)\b"), ("county", r"\bcounty\b|\bco\b|\bcommissioner\b|\bsupervisors?\b"),
 ]
-OFFICE_WORDS = set(
-    "city council counsel cncl mbr member common alderperson of for the office board co county commissioner supervisor supervisors school schools sch bd education trustee fire district fpd protection "
-    "director parks park rec and commission clerk treasurer treas twp township village mayor at large dist area ward d".split()
+# Words that say nothing of a locality, beside those of the offices' table.
+OFFICE_WORDS = set(OFFICE_STOP_WORDS) | set(
+    "counsel cncl mbr common board co sch bd fire fpd protection parks park rec commission treas dist d town library water irrigation sanitary sewer hospital health court judges supervisors".split()
 )
 SHORT_PLACES = {"mt": "mount", "st": "saint", "ft": "fort", "sta": "saint"}
 ROMAN = {r: i + 1 for i, r in enumerate("i ii iii iv v vi vii viii ix x xi xii xiii xiv xv xvi xvii xviii xix xx".split())}
@@ -75,6 +83,8 @@ class Vocabulary:
     count: dict[str, int] = field(default_factory=dict)
     related: dict[str, set[str]] = field(default_factory=dict)
     _near: dict[str, list[str]] = field(default_factory=dict)
+    _snapped: dict[str, list[str]] = field(default_factory=dict)
+    _spelled: dict[str, list[str]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         heads = {n for n in self.count if len(n) >= 4}
@@ -82,8 +92,9 @@ class Vocabulary:
         for n in sorted(heads):
             for k in near_keys(n):
                 shared.setdefault(k, []).append(n)
-        for n in {a for names in shared.values() for a in names for b in names if self.count[b] >= TYPO * self.count[a] and one_edit(a, b)}:
-            del self.count[n]  # a frequent misspelling
+        own = lambda a, b: self.related.get(a, set()) - self.related.get(b, set()) - {b}
+        for n in {a for names in shared.values() for a in names for b in names if self.count[b] >= TYPO * self.count[a] and one_edit(a, b) and not own(a, b)}:
+            del self.count[n]  # a frequent misspelling: it has no relatives that the other name lacks
         for n in self.count:
             if len(n) >= 4:
                 for k in near_keys(n):
@@ -109,7 +120,15 @@ class Vocabulary:
             return [w]
         if len(w) < 4:
             return []
-        return sorted({n for k in near_keys(w) for n in self._near.get(k, ()) if one_edit(w, n)})
+        if w not in self._snapped:
+            self._forget(self._snapped)[w] = sorted({n for k in near_keys(w) for n in self._near.get(k, ()) if one_edit(w, n)})
+        return self._snapped[w]
+
+    @staticmethod
+    def _forget(memory: dict) -> dict:
+        if len(memory) > REMEMBERED:
+            memory.clear()
+        return memory
 
     def spelled_by(self, short: str) -> list[str]:
         """Names that an abbreviation with a full stop can stand for: their beginning, or letters in order from first to last."""
@@ -118,7 +137,9 @@ class Vocabulary:
             rest = iter(n)
             return len(n) > len(short) and n[0] == short[0] and (n.startswith(short) or n[-1] == short[-1]) and all(c in rest for c in short)
 
-        return sorted(n for n in self.count if inside(n))
+        if short not in self._spelled:
+            self._forget(self._spelled)[short] = sorted(n for n in self.count if inside(n))
+        return self._spelled[short]
 
 
 def alias_counts(records: DataFrame) -> DataFrame:
@@ -212,18 +233,19 @@ def given_names(given: str, aliases: list[str], vocabulary: Vocabulary) -> tuple
 
 
 def body_of(*texts: str | None) -> str:
+    """The body an office belongs to, by the first text that tells; an office of no known wording is a body of its own type."""
     for t in texts:
         s = fold(t).replace(".", "")
         for name, pattern in _BODIES:
             if pattern.search(s):
                 return name
-    return ""
+    return next((" ".join(_WORD.findall(fold(t))) for t in texts[1:] if t and t.strip()), "")
 
 
-def place_of(office: str | None) -> str:
-    """The locality in an office's wording: what is left without the words of offices and seats."""
-    words = re.findall(r"[a-z]+\d*|\d+", fold(office).replace("'", ""))
-    return " ".join(SHORT_PLACES.get(w, w) for w in words if w not in OFFICE_WORDS and w not in ROMAN and not re.fullmatch(r"d?\d+", w))
+def place_of(office: str | None, *types: str | None) -> str:
+    """The locality in an office's wording: what is left without the words of offices and seats, and of the office's types."""
+    words, typed = re.findall(r"[a-z]+\d*|\d+", fold(office).replace("'", "")), {w for t in types for w in _WORD.findall(fold(t))}
+    return " ".join(SHORT_PLACES.get(w, w) for w in words if w not in OFFICE_WORDS and w not in typed and w not in ROMAN and not re.fullmatch(r"d?\d+", w))
 
 
 def _number(w: str | None) -> str:
@@ -251,7 +273,7 @@ def seat_of(identifier: str | None, office: str | None, raw: str | None) -> str:
     return ""
 
 
-PARTS = "unique_id string, source_name string, state string, place string, body string, seat string, surname string, surname_parts array<string>, forms array<string>, wider array<string>, letters array<string>, stems array<string>, initial boolean, email string, phone string"
+PARTS = "unique_id string, source_name string, state string, place string, body string, seat string, surname string, surname_parts array<string>, forms array<string>, wider array<string>, letters array<string>, stems array<string>, rare array<string>, initial boolean, email string, phone string"
 
 
 def parts_of_records(records: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -264,25 +286,43 @@ def parts_of_records(records: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     # a fixed number of partitions, else few tasks would parse all the names of a small table
     parts = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     once = records.where(F.col("unique_id").isNotNull()).select("unique_id", *cols).repartition(parts, "unique_id").groupBy("unique_id").agg(F.min(F.struct(*cols)).alias("r")).select("unique_id", "r.*")
+    at = {c: i for i, c in enumerate(["unique_id", *cols])}
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        offices: dict[tuple, tuple[str, str, str]] = {}
+
+        def office_parts(office, city, kind, wanted, identifier, raw) -> tuple[str, str, str]:
+            key = (office, city, kind, wanted, identifier, raw)
+            if key not in offices:
+                if len(offices) > REMEMBERED:
+                    offices.clear()
+                offices[key] = place_of(city or office, kind, wanted) or place_of(office, kind, wanted), body_of(office, wanted, kind), seat_of(identifier, office, raw)
+            return offices[key]
+
         for f in frames:
             rows = []
-            for r in f.astype(object).where(f.notna(), None).to_dict("records"):
-                given, surname = split_name(r["first_name"], r["last_name"], vocabulary)
+            for r in f.itertuples(index=False, name=None):
+                get = lambda c: r[at[c]] if c in at and isinstance(r[at[c]], str) else None  # noqa: B023, E731
+                given, surname = split_name(get("first_name"), get("last_name"), vocabulary)
                 try:
-                    aliases = [a for a in json.loads(r["first_name_aliases"] or "[]") if isinstance(a, str)]
+                    aliases = [a for a in json.loads(get("first_name_aliases") or "[]") if isinstance(a, str)]
                 except (ValueError, TypeError):
                     aliases = []
                 key = surname_key(surname)
                 aliases = [a for a in aliases if surname_key(fold(a)) != key]
-                parts = given_names(given, aliases, vocabulary)
-                office = r["official_office_name"]
-                digits = re.sub(r"\D", "", r["phone"] or "")[-10:]
+                forms, wider, letters, stems, initial = given_names(given, aliases, vocabulary)
+                place, body, seat = office_parts(*map(get, ("official_office_name", "city", "office_type", "candidate_office", "district_identifier", "district_raw")))
+                digits = re.sub(r"\D", "", get("phone") or "")[-10:]
                 rows.append((
-                    r["unique_id"], r["source_name"], r["state"] or "", place_of(r.get("city") or office) or place_of(office), body_of(office, r.get("candidate_office"), r.get("office_type")),
-                    seat_of(r.get("district_identifier"), office, r.get("district_raw")), key, surname_parts(surname), *parts, (r["email"] or "").strip().lower() or None, digits if len(digits) == 10 else None,
+                    r[0], get("source_name"), get("state") or "", place, body, seat, key, surname_parts(surname), forms, wider, letters, stems, [x for x in forms if x not in vocabulary.count], initial,
+                    (get("email") or "").strip().lower() or None, digits if len(digits) == 10 else None,
                 ))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in PARTS.split(", ")])
 
     return once.mapInPandas(run, PARTS)
+
+
+def rare_relations(records: DataFrame) -> DataFrame:
+    """x, y, both ways: names that two alias lists or more hold together, whatever their share; a table, however many there are."""
+    said = alias_counts(records).where("head <> other").select(F.least("head", "other").alias("x"), F.greatest("head", "other").alias("y"), "n").groupBy("x", "y").agg(F.sum("n").alias("n")).where("n >= 2")
+    return said.select("x", "y").unionByName(said.select(F.col("y").alias("x"), F.col("x").alias("y")))
