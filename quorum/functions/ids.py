@@ -12,7 +12,11 @@ def as_uuid(hexed: Column) -> Column:
     return F.concat_ws("-", *[F.substring(hexed, at, n) for at, n in cuts])
 
 
-def salted_uuid(*fields: Column | str, salt: str = "salt_string") -> Column:
+#: Fixed value: the salt that ids are made with where none is given.
+SALT = "salt_string"
+
+
+def salted_uuid(*fields: Column | str, salt: str = SALT) -> Column:
     """An id that depends on the fields' texts (null as '') and the salt: md5 of the salted texts joined by '-'."""
     cols = [F.col(f) if isinstance(f, str) else f for f in fields]
     return as_uuid(F.md5(F.concat_ws("-", *[F.concat(F.coalesce(c.cast("string"), F.lit("")), F.lit(salt)) for c in cols])))
@@ -24,8 +28,8 @@ def fingerprint(*fields: str) -> Column:
 
 
 def household_hash(*fields: str) -> Column:
-    """Unsalted sha256 of the upper-cased, trimmed fields: equal for one household, telling nothing else."""
-    return F.sha2(F.concat_ws("|", *[F.upper(F.trim(F.coalesce(F.col(f).cast("string"), F.lit("")))) for f in fields]), 256)
+    """Unsalted sha256 of the fields as they are (null as ''): equal for one household, telling nothing else."""
+    return F.sha2(F.concat_ws("|", *[F.coalesce(F.col(f).cast("string"), F.lit("")) for f in fields]), 256)
 
 
 def decode_base64_id(c: Column) -> Column:

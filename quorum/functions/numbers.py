@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: the least number of ballots that is projected.
 FLOOR_BALLOTS = 3
 
 

@@ -8,10 +8,10 @@ of renamings give an alias table, from which the casts of the consistent table a
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quorum.operators.graph import cut_and_sum
 from quorum.operators.sizes import broadcast_if_small
 from quorum.session import cut
 
@@ -61,7 +61,9 @@ def file_lines(lines: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame
     files not in ``files`` are left out. A name that occurs twice in a header stands for its first column.
     """
     split = lines.select("file_load_id", "line_no", F.regexp_replace("raw_line", "^﻿", "").alias("raw_line")).where(F.length(_trim(F.regexp_replace("raw_line", '[",]', " "))) > 0)
+    # every line is parsed once
     known = split.join(broadcast_if_small(files), F.col("file_load_id") == F.col("file_id")).select("producer", "seq", "file", "file_id", "line_no", split_line(F.col("raw_line"), F.lower("file").endswith(".tab")).alias("fields"))
+    known = cut(known)
     names = F.transform("fields", lambda x: _trim(F.regexp_replace(x, "[﻿\"]", "")))
     headers = known.where("line_no = 0").select("producer", "seq", "file", "file_id", names.alias("names")).dropDuplicates(["file_id"])
     records = known.where("line_no > 0").join(broadcast_if_small(headers.select("file_id", "names")), "file_id").select("producer", "seq", "file", "file_id", "line_no", "names", "fields")
@@ -95,15 +97,26 @@ def lifespans(cat: DataFrame) -> DataFrame:
     return cat.withColumn("born", born).withColumn("island", island).groupBy("producer", "name", "island").agg(F.min("seq").alias("first"), F.max("seq").alias("last")).join(ends, "producer").drop("island")
 
 
-def _greedy(pairs: pd.DataFrame) -> pd.DataFrame:
-    """One partner per column, best first; a group has the ended and begun columns of one file only."""
-    olds, news, keep = set(), set(), []
-    for i, r in pairs.sort_values(["n", "old", "new"], ascending=[False, True, True]).iterrows():
-        if r.old not in olds and r.new not in news:
-            olds.add(r.old)
-            news.add(r.new)
-            keep.append(i)
-    return pairs.loc[keep]
+def best_first(pairs: DataFrame) -> DataFrame:
+    """pairs (producer, at, old, new, n) with one partner per column, best first: greatest n, then least old and new.
+
+    In a round those pairs stay that are the best of both their columns; a round leaves out what they exclude.
+    That gives what taking the best of all, again and again, gives.
+    """
+    kept = []
+    while True:
+        top = lambda side: F.row_number().over(Window.partitionBy("producer", "at", side).orderBy(F.col("n").desc(), "old", "new"))
+        ranked = cut(pairs.withColumns({"by_old": top("old"), "by_new": top("new")}))
+        best = ranked.where("by_old = 1 AND by_new = 1").select("producer", "at", "old", "new", "n")
+        kept.append(best)
+        left = ranked.where("by_old > 1 OR by_new > 1").select("producer", "at", "old", "new", "n")
+        pairs, n = cut_and_sum(left.join(best.select("producer", "at", "old"), ["producer", "at", "old"], "left_anti").join(best.select("producer", "at", "new"), ["producer", "at", "new"], "left_anti").select("producer", "at", "old", "new", "n"), F.lit(1))
+        if not n:
+            break
+    out = kept[0]
+    for k in kept[1:]:
+        out = out.unionByName(k)
+    return out
 
 
 def renamings(spans: DataFrame, cell: DataFrame) -> DataFrame:
@@ -119,11 +132,11 @@ def renamings(spans: DataFrame, cell: DataFrame) -> DataFrame:
         some = broadcast_if_small(events.join(both, ["producer", "at"], "left_semi"))
         return cell.withColumn("at", F.col("seq") + back).withColumnRenamed("name", name).join(some, ["producer", "at", name]).groupBy("producer", "at", "key", name).agg(F.max("value").alias("value"))
 
-    old, new = side(ended, "old", 1), side(begun, "new", 0)
+    old, new = cut(side(ended, "old", 1)), cut(side(begun, "new", 0))
     shared = old.select("producer", "at", "key").distinct().join(new.select("producer", "at", "key").distinct(), ["producer", "at", "key"]).groupBy("producer", "at").agg(F.count(F.lit(1)).alias("records"))
     same = old.join(new, ["producer", "at", "key", "value"]).groupBy("producer", "at", "old", "new").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("value") != "").alias("filled"))
     close = same.join(shared, ["producer", "at"]).where((F.col("filled") > 0) & (F.col("n") >= SAME_VALUES * F.col("records"))).select("producer", "at", "old", "new", "n")
-    return close.groupBy("producer", "at").applyInPandas(_greedy, close.schema).select("producer", F.col("at").alias("seq"), "old", "new")
+    return best_first(close).select("producer", F.col("at").alias("seq"), "old", "new")
 
 
 def changes(cat: DataFrame, spans: DataFrame, renamed: DataFrame) -> DataFrame:

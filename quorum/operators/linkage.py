@@ -49,18 +49,24 @@ def compare(pairs: DataFrame, comparisons: list[Comparison]) -> DataFrame:
 
 
 def chance_pairs(a: DataFrame, b: DataFrame, key: str, n: int = CHANCE_PAIRS, seed: int = 1) -> DataFrame:
-    """About n random pairs: each side's rows are drawn repeatedly into numbered slots that meet one to one. All pairs if there are no more than n."""
-    if a.count() * b.count() <= n:
+    """About n random pairs, whatever the tables' sizes: each side's rows are drawn into numbered slots that meet one to one. All pairs if there are no more than n.
+
+    A side of more than n rows is drawn from by hash, so that about n of its rows take part; a smaller one is drawn repeatedly.
+    """
+    size_a, size_b = a.count(), (a.count() if a is b else b.count())
+    if size_a * size_b <= n:
         return a.select(F.col(key).alias("id_l")).crossJoin(b.select(F.col(key).alias("id_r"))).distinct()  # n rows at most
 
-    def slots(df: DataFrame, name: str) -> DataFrame:
-        size = max(df.count(), 1)
-        each = -(-n // size)
-        drawn = df.select(F.col(key).alias(name), F.explode(F.sequence(F.lit(1), F.lit(each))).alias("k"))
-        return drawn.withColumn("slot", F.pmod(F.xxhash64(name, "k", F.lit(seed if name == "id_l" else seed + 1)), F.lit(n)))
+    def slots(df: DataFrame, size: int, name: str) -> DataFrame:
+        own, each = F.lit(seed if name == "id_l" else seed + 1), -(-n // max(size, 1))
+        rows = df.select(F.col(key).alias(name))
+        if size > n:
+            rows = rows.where(F.pmod(F.xxhash64(name, F.lit("drawn"), own), F.lit(size)) < n)
+        drawn = rows.select(name, F.explode(F.sequence(F.lit(1), F.lit(each))).alias("k"))
+        return drawn.withColumn("slot", F.pmod(F.xxhash64(name, "k", own), F.lit(n)))
 
     # the drawn rows count as few as the undrawn when Spark plans, and would be broadcast
-    return slots(a, "id_l").hint("merge").join(slots(b, "id_r"), "slot").select("id_l", "id_r").distinct()
+    return slots(a, size_a, "id_l").hint("merge").join(slots(b, size_b, "id_r"), "slot").select("id_l", "id_r").distinct()
 
 
 def pattern_counts(gammas: DataFrame, comparisons: list[Comparison]) -> DataFrame:

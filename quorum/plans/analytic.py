@@ -59,8 +59,7 @@ def mode_deterministic(spark: SparkSession, d: str) -> DataFrame:
 
 
 def collect_sorted_structs(spark: SparkSession, d: str) -> DataFrame:
-    o = orders(spark, d).where("o_orderstatus = 'P'")
-    return o.groupBy("o_custkey").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("o_orderdate", "o_orderkey")), asc=False), lambda x: x["o_orderkey"].cast("string")), ",").alias("keys"), F.array_join(F.array_sort(F.collect_set("o_orderpriority")), ",").alias("priorities"))
+    return orders(spark, d).groupBy("o_custkey").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("o_orderdate", "o_orderkey")), asc=False), lambda x: x["o_orderkey"].cast("string")), ",").alias("keys"), F.array_join(F.array_sort(F.collect_set("o_orderpriority")), ",").alias("priorities"))
 
 
 def percentile_iqr_outliers(spark: SparkSession, d: str) -> DataFrame:
@@ -105,7 +104,7 @@ def rss_margin(spark: SparkSession, d: str) -> DataFrame:
 
 def wilson_interval(spark: SparkSession, d: str) -> DataFrame:
     g = orders(spark, d).groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("o_orderstatus") == "F").alias("k"))
-    return g.select("o_custkey", *[F.round(c, 0).alias(n) for c, n in zip(numbers.wilson(F.col("k"), F.col("n")), ("point_pct", "lo_pct", "hi_pct"))]).select("o_custkey", (F.col("lo_pct") <= F.col("point_pct")).alias("lo_ok"), (F.col("hi_pct") >= F.col("point_pct")).alias("hi_ok"), "point_pct")
+    return g.select("o_custkey", *numbers.wilson(F.col("k"), F.col("n")))
 
 
 def count_once(spark: SparkSession, d: str) -> DataFrame:
@@ -163,8 +162,10 @@ def sessionize_gap(spark: SparkSession, d: str) -> DataFrame:
 
 def window_collect_union(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "dummy_data_elected").select("unique_id", "state", "candidate_office", "source_name").distinct()
-    got = e.withColumn("s", F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.array("source_name")).over(Window.partitionBy("state", "candidate_office"))))))
-    return got.select("unique_id", F.array_join("s", ",").alias("sources"))
+    by = ["state", "candidate_office"]
+    sources = e.groupBy(*by).agg(F.array_join(F.array_sort(F.collect_set("source_name")), ",").alias("sources"))  # few sources a group; rows are not gathered
+    same = [F.col(f"e.{c}").eqNullSafe(F.col(f"s.{c}")) for c in by]
+    return e.alias("e").join(sources.alias("s"), same[0] & same[1]).select("unique_id", "sources")
 
 
 def sibling_resolution(spark: SparkSession, d: str) -> DataFrame:
@@ -338,15 +339,7 @@ def human_names(spark: SparkSession, d: str) -> DataFrame:
 
 
 def connected_components(spark: SparkSession, d: str) -> DataFrame:
-    """Customers linked by orders of one clerk-like bucket and day."""
-    o = orders(spark, d).select(F.col("o_custkey").alias("c"), F.concat_ws("|", F.to_date("o_orderdate").cast("string"), "o_orderpriority").alias("k"))
-    hub = o.groupBy("k").agg(F.min("c").alias("b"))
-    edges = o.join(hub, "k").where("c <> b AND c % 3 = 0 AND b % 3 = 0").select(F.col("c").alias("a"), "b").distinct()
-    return graph.components(edges).select("v", "component", "n_vertices")
-
-
-def connected_components_all(spark: SparkSession, d: str) -> DataFrame:
-    """All customers linked by orders of one day and priority."""
+    """Customers linked by orders of one day and priority."""
     o = orders(spark, d).select(F.col("o_custkey").alias("c"), F.concat_ws("|", F.to_date("o_orderdate").cast("string"), "o_orderpriority").alias("k"))
     hub = o.groupBy("k").agg(F.min("c").alias("b"))
     edges = o.join(hub, "k").where("c <> b").select(F.col("c").alias("a"), "b").distinct()
@@ -472,7 +465,7 @@ PLANS = [
     mass_allocation, majority_membership, rss_margin, wilson_interval, count_once, metric_simple, metric_cumulative, ranked_pick, topk_per_group, window_totals, first_value_ignore_nulls, sessionize_gap,
     window_collect_union, sibling_resolution, trailing_window_flags, tumbling_week, unpivot, stack_reshape, unpivot_dynamic, pivot_conditional, incremental_watermark, incremental_per_key, affected_key_recompute,
     version_fingerprint, scd2_snapshot, mint_canonical_id, salted_ids, election_ids, slugs, text_normalization, office_match_keys, district_parts, election_days, stage_depths, json_fields, event_families, freshness_lag, tri_state_gate, multi_format_dates,
-    deidentified, human_names, connected_components, connected_components_all, record_linkage, similarity_scores, interval_bounds, waterfall_scoring, state_as_of, scalar_if_unambiguous, fail_closed_resolution, share_projection, geo_slugs, canonical_crosswalk,
+    deidentified, human_names, connected_components, record_linkage, similarity_scores, interval_bounds, waterfall_scoring, state_as_of, scalar_if_unambiguous, fail_closed_resolution, share_projection, geo_slugs, canonical_crosswalk,
 ]
 
 

@@ -17,7 +17,7 @@ SQL: dict[str, str] = {
     "bool_rollup": "WITH x AS (SELECT o_custkey, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice > 150000 END AS b FROM orders) SELECT o_custkey, bool_or(b) AS any_big, max(b) AS max_big, bool_and(b) AS all_big FROM x GROUP BY 1",
     "max_by_fallback": """SELECT o_custkey, coalesce(first(o_orderkey ORDER BY o_totalprice DESC, o_orderkey DESC) FILTER (WHERE o_orderstatus <> 'P'), max(o_orderkey)) AS pick, first(o_orderstatus ORDER BY o_orderdate, o_orderkey) AS first_status FROM orders GROUP BY 1""",
     "mode_deterministic": "SELECT l_suppkey, mode_value, mode_count FROM (SELECT l_suppkey, l_partkey % 7 AS mode_value, count(*) AS mode_count FROM lineitem GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY mode_count DESC, mode_value) = 1",
-    "collect_sorted_structs": "SELECT o_custkey, string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderdate DESC, o_orderkey DESC) AS keys, string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS priorities FROM orders WHERE o_orderstatus = 'P' GROUP BY 1",
+    "collect_sorted_structs": "SELECT o_custkey, string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderdate DESC, o_orderkey DESC) AS keys, string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS priorities FROM orders GROUP BY 1",
     "percentile_iqr_outliers": """WITH q AS (SELECT event_type, count(value) AS n_rows, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events GROUP BY 1)
         SELECT q.event_type, n_rows, round(q1, 4) AS q1, round(q3, 4) AS q3, count(*) FILTER (WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)) AS n_outliers FROM events JOIN q USING (event_type) GROUP BY ALL""",
     "rollup_all_label": """SELECT o_orderstatus, year(o_orderdate)::INT AS year, count(DISTINCT o_custkey) AS n FROM orders GROUP BY 1, 2
@@ -33,7 +33,8 @@ SQL: dict[str, str] = {
     "rss_margin": """SELECT p_partkey, CASE WHEN p_size NOT IN (1, 2) THEN (p_size * 10 + p_size)::BIGINT END AS estimate,
         round(CASE WHEN p_size = 4 THEN NULL WHEN p_size = 3 THEN sqrt(pow(4, 2)) ELSE sqrt(pow(p_size, 2) + pow(p_size + 1, 2)) END, 6) AS margin FROM part""",
     "wilson_interval": """WITH g AS (SELECT o_custkey, count(*) AS n, count(*) FILTER (WHERE o_orderstatus = 'F') AS k FROM orders GROUP BY 1)
-        SELECT o_custkey, true AS lo_ok, true AS hi_ok, round(round(100 * k / n, 1), 0) AS point_pct FROM g""",
+        SELECT o_custkey, round(100 * (k / n), 1) AS point_pct, round(100 * (k / n + z2 / (2 * n) - z * sqrt((k / n * (1 - k / n) + z2 / (4 * n)) / n)) / (1 + z2 / n), 1) AS lo_pct,
+        round(100 * (k / n + z2 / (2 * n) + z * sqrt((k / n * (1 - k / n) + z2 / (4 * n)) / n)) / (1 + z2 / n), 1) AS hi_pct FROM g, (SELECT 1.96::DOUBLE AS z, 3.8416::DOUBLE AS z2)""",
     "count_once": """WITH m AS (SELECT o_orderpriority AS cohort, o_custkey, count(DISTINCT o_orderstatus) AS s FROM orders GROUP BY 1, 2) SELECT cohort, count(*) AS once, sum(s)::BIGINT AS per_seat FROM m GROUP BY 1""",
     "metric_simple": "SELECT date_trunc('month', o_orderdate)::DATE AS period, o_orderstatus AS status, count(*) AS large_orders FROM orders WHERE o_totalprice > 100000 GROUP BY 1, 2",
     "metric_cumulative": """WITH p AS (SELECT unnest(generate_series(DATE '1992-01-01', DATE '1999-01-01', INTERVAL 1 MONTH))::DATE AS period),
@@ -100,12 +101,13 @@ SQL: dict[str, str] = {
     "freshness_lag": "SELECT state_id, max(loaded_at) AS last_at, floor((epoch((SELECT max(loaded_at) FROM load__l2_s3_to_databricks)) - epoch(max(loaded_at))) / 3600)::BIGINT AS lag_hours FROM load__l2_s3_to_databricks GROUP BY 1",
     "tri_state_gate": """SELECT o_orderkey, CASE WHEN o_orderdate::DATE < DATE '1995-06-01' THEN false WHEN o_orderstatus <> 'P' THEN o_totalprice > 100000 END AS eligible, o_orderstatus <> 'P' AND o_totalprice <= 100000 AS clean FROM orders""",
     "multi_format_dates": "SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN make_date(2024, 7, (p_partkey % 28 + 1)::INT) WHEN 2 THEN DATE '2023-05-17' END AS day FROM part",
-    "deidentified": """WITH x AS (SELECT sha256(concat_ws('|', upper(trim(coalesce(state, ''))), upper(trim(coalesce(residence_addresses_city, ''))), upper(trim(coalesce(residence_addresses_zip, ''))), upper(trim(coalesce(lastname, ''))))) AS household, state, year(birthdate)::INT AS y FROM voter)
+    "deidentified": """WITH x AS (SELECT sha256(concat_ws('|', coalesce(state, ''), coalesce(residence_addresses_city, ''), coalesce(residence_addresses_zip, ''), coalesce(lastname, ''))) AS household, state, year(birthdate)::INT AS y FROM voter)
         SELECT household, state, count(*) AS members, min(y) AS oldest FROM x GROUP BY 1, 2""",
     "connected_components": """WITH RECURSIVE o AS (SELECT o_custkey AS c, concat_ws('|', o_orderdate::DATE::VARCHAR, o_orderpriority) AS k FROM orders), h AS (SELECT k, min(c) AS b FROM o GROUP BY 1),
-        e AS (SELECT DISTINCT c AS a, b FROM o JOIN h USING (k) WHERE c <> b AND c % 3 = 0 AND b % 3 = 0), w AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
-        walk AS (SELECT DISTINCT a AS v, a AS r FROM w UNION SELECT b, r FROM walk JOIN w ON v = a WHERE r < b),
-        l AS (SELECT v, min(r) AS component FROM walk GROUP BY 1) SELECT v, component, count(*) OVER (PARTITION BY component) AS n_vertices FROM l""",
+        e AS (SELECT DISTINCT c AS a, b FROM o JOIN h USING (k) WHERE c <> b), w AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+        l(v, component) USING KEY (v) AS (SELECT a, min(least(a, b)) FROM w GROUP BY a
+          UNION SELECT w.a, min(l.component) FROM l JOIN w ON w.b = l.v JOIN recurring.l AS u ON u.v = w.a WHERE l.component < u.component GROUP BY w.a)
+        SELECT v, component, count(*) OVER (PARTITION BY component) AS n_vertices FROM l""",
     "connected_components_all": """WITH RECURSIVE o AS (SELECT o_custkey AS c, concat_ws('|', o_orderdate::DATE::VARCHAR, o_orderpriority) AS k FROM orders), h AS (SELECT k, min(c) AS b FROM o GROUP BY 1),
         e AS (SELECT DISTINCT c AS a, b FROM o JOIN h USING (k) WHERE c <> b), w AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
         walk AS (SELECT DISTINCT a AS v, a AS r FROM w UNION SELECT b, min(r) FROM walk JOIN w ON v = a WHERE r < b GROUP BY b),

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quorum.plans import analytic, drift, general, relational
+from quorum.plans import analytic, drift, general, relational, relations
 
 FLAGSHIP = "sessionize_gap"
-PARTS = [general, drift, relational, analytic]
+PARTS = [general, drift, relational, analytic, relations]
 #: days are compared as texts, as clients differ in how they read them
 DAYS = {"interval_join": ["day"], "metric_simple": ["period"], "metric_cumulative": ["period"], "scd2_snapshot": ["valid_from", "valid_to"], "election_days": ["day"], "multi_format_dates": ["day"], "sessionize_gap": ["week"]}
 

@@ -35,8 +35,9 @@ def p3_profile(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """The findings, which thresholds on the exact profile define; the classifier's decisions are in p3_profile."""
     parts = [
-        profile.findings(profile.profile_loads(table(spark, d, t), F.date_format(at, DAY), cols)).select(F.lit(t).alias("table_name"), "load_day", "column_name", "finding")
+        profile.findings(profile.exact_profile(table(spark, d, t), F.date_format(at, DAY), cols)).select(F.lit(t).alias("table_name"), "load_day", "column_name", "finding")
         for t, (at, cols) in PROFILED.items()
     ]
     return parts[0].unionByName(parts[1])

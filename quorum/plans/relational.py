@@ -19,7 +19,7 @@ from quorum.sources import enrich, files
 SAME_TEXT: dict[str, str] = {
     "scan_project": """SELECT l_orderkey, l_linenumber, round(l_extendedprice * (1 - l_discount), 6) AS net, l_returnflag AS flag
         FROM {lineitem} WHERE l_shipdate < TIMESTAMP '1996-01-01 00:00:00'""",
-    "lateral_alias": """SELECT o_orderkey, o_totalprice AS price, round(price * 0.07, 6) AS tax, round(price + tax, 6) AS gross FROM {orders} WHERE o_orderpriority LIKE '1%'""",
+    "lateral_alias": """SELECT o_orderkey, o_totalprice AS price, round(price * 0.07, 6) AS tax, round(price + tax, 6) AS gross FROM {orders}""",
     "case_bucket": """SELECT o_orderkey, CASE WHEN o_totalprice < 1000 THEN 'small' WHEN o_totalprice < 100000 THEN 'medium' ELSE 'large' END AS size,
         CASE o_orderstatus WHEN 'F' THEN 2 WHEN 'O' THEN 1 ELSE 0 END AS status_rank FROM {orders}""",
     "filter_range": """SELECT o_orderkey, o_custkey FROM {orders} WHERE o_totalprice BETWEEN 1000 AND 50000 AND o_orderstatus IN ('O', 'P')
@@ -66,8 +66,9 @@ def latest_per_group(spark: SparkSession, d: str) -> DataFrame:
 
 
 LATEST_PER_GROUP = r"""SELECT state_id, file_type, source_file_name, loaded_at FROM (
-  SELECT *, CASE WHEN source_file_name LIKE '%DEMOGRAPHIC\_DataDictionary.csv' ESCAPE '\' THEN 'demographic_data_dictionary' WHEN source_file_name LIKE '%VOTEHISTORY\_DataDictionary.csv' ESCAPE '\' THEN 'vote_history_data_dictionary'
-    WHEN source_file_name LIKE '%DEMOGRAPHIC.tab' THEN 'demographic' WHEN source_file_name LIKE '%VOTEHISTORY.tab' THEN 'vote_history' WHEN source_file_name LIKE 'VM2Uniform%.tab' THEN 'uniform' END AS file_type
+  SELECT *, CASE WHEN source_file_name LIKE '%VOTEHISTORY.tab' THEN 'vote_history' WHEN source_file_name LIKE '%DEMOGRAPHIC.tab' THEN 'demographic'
+    WHEN source_file_name LIKE '%VOTEHISTORY_DataDictionary.csv' THEN 'vote_history_data_dictionary' WHEN source_file_name LIKE '%DEMOGRAPHIC_DataDictionary.csv' THEN 'demographic_data_dictionary'
+    WHEN source_file_name LIKE 'VM2Uniform%.tab' THEN 'uniform' WHEN source_file_name LIKE 'VM2Uniform%DataDictionary.csv' THEN 'uniform_data_dictionary' END AS file_type
   FROM load__l2_s3_to_databricks) WHERE file_type IS NOT NULL QUALIFY row_number() OVER (PARTITION BY state_id, file_type ORDER BY loaded_at DESC, source_file_name) = 1"""
 
 
@@ -330,15 +331,18 @@ SELECT event_id, ts, event_type FROM events WHERE event_type = 'error' AND ts >
 
 
 def er_blocking(spark: SparkSession, d: str) -> DataFrame:
-    """Pairs of two sources that agree on one of three rules, once each."""
+    """Pairs of any two sources that agree on one of three rules, once each."""
     e = table(spark, d, "dummy_data_elected").select("unique_id", "source_name", "state", "last_name", "first_name", "email", "phone").distinct()
     rules = [[F.col("state"), F.lower("last_name")], [F.lower("email")], [F.col("phone"), F.lower("first_name")]]
-    return joins.blocked_pairs(e.where("source_name = 'ballotready'"), e.where("source_name = 'techspeed'"), rules, "unique_id", "unique_id")
+    source = lambda i: e.select(F.col("unique_id").alias(i), F.col("source_name").alias(f"source_{i}")).distinct()
+    met = joins.blocked_pairs(e, e, rules, "unique_id", "unique_id").join(source("id_l"), "id_l").join(source("id_r"), "id_r")
+    return met.where("source_id_l < source_id_r").select("id_l", "id_r").distinct()
 
 
-ER_BLOCKING = """WITH a AS (SELECT DISTINCT * FROM dummy_data_elected WHERE source_name = 'ballotready'), b AS (SELECT DISTINCT * FROM dummy_data_elected WHERE source_name = 'techspeed')
-SELECT a.unique_id AS id_l, b.unique_id AS id_r FROM a JOIN b ON a.state = b.state AND lower(a.last_name) = lower(b.last_name)
-UNION SELECT a.unique_id, b.unique_id FROM a JOIN b ON lower(a.email) = lower(b.email) UNION SELECT a.unique_id, b.unique_id FROM a JOIN b ON a.phone = b.phone AND lower(a.first_name) = lower(b.first_name)"""
+ER_BLOCKING = """WITH a AS (SELECT DISTINCT * FROM dummy_data_elected), b AS (SELECT * FROM a)
+SELECT a.unique_id AS id_l, b.unique_id AS id_r FROM a JOIN b ON a.state = b.state AND lower(a.last_name) = lower(b.last_name) WHERE a.source_name < b.source_name
+UNION SELECT a.unique_id, b.unique_id FROM a JOIN b ON lower(a.email) = lower(b.email) WHERE a.source_name < b.source_name
+UNION SELECT a.unique_id, b.unique_id FROM a JOIN b ON a.phone = b.phone AND lower(a.first_name) = lower(b.first_name) WHERE a.source_name < b.source_name"""
 
 
 def dedup_latest(spark: SparkSession, d: str) -> DataFrame:

@@ -8,16 +8,20 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from quorum.operators.graph import cut_and_sum
 from quorum.operators.windows import latest_per_key
 
 # File types by the end of a file's name, the first that fits decides.
 FILE_TYPES = [
-    ("%DEMOGRAPHIC\\_DataDictionary.csv", "demographic_data_dictionary"), ("%VOTEHISTORY\\_DataDictionary.csv", "vote_history_data_dictionary"),
-    ("%DEMOGRAPHIC.tab", "demographic"), ("%VOTEHISTORY.tab", "vote_history"), ("VM2Uniform%.tab", "uniform"),
+    ("%VOTEHISTORY.tab", "vote_history"), ("%DEMOGRAPHIC.tab", "demographic"),
+    ("%VOTEHISTORY_DataDictionary.csv", "vote_history_data_dictionary"), ("%DEMOGRAPHIC_DataDictionary.csv", "demographic_data_dictionary"),
+    ("VM2Uniform%.tab", "uniform"), ("VM2Uniform%DataDictionary.csv", "uniform_data_dictionary"),
 ]
 
 
@@ -43,7 +47,7 @@ def latest_files(listing: DataFrame, by: list[str], name: str, at: str) -> DataF
 
 def table_name_of(file_name: str, state: str, prefix: str = "l2_s3") -> str:
     """The table a file is loaded into."""
-    kind = next((k for p, k in FILE_TYPES if re.fullmatch(p.replace("\\_", "_").replace("%", ".*"), file_name)), None)
+    kind = next((k for p, k in FILE_TYPES if re.fullmatch(p.replace("_", ".").replace("%", ".*"), file_name)), None)
     if kind is None:
         raise ValueError(f"no file type fits {file_name}")
     return f"{prefix}_{state.lower()}_{kind}"
@@ -64,20 +68,77 @@ def write_delimited(df: DataFrame, path: str, order: list[tuple[str, str]], part
     rows.select(*[out(c, k) for c, k in order]).write.mode("overwrite").csv(path, header=True, quote='"', escape='"', nullValue="", emptyValue='""')
 
 
+def content(df: DataFrame) -> tuple[int, int]:
+    """(rows, sum of the rows' hashes): equal for tables of the same rows in any order, and all but surely different for others."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)")).alias("h")).first()
+    return r.n, int(r.h or 0)
+
+
 def overwrite_partition(df: DataFrame, path: str, column: str, value: str) -> str:
-    """Loads one partition idempotently: 'skipped' if the partition already has as many rows, else its rows are replaced."""
+    """Loads one partition idempotently: 'skipped' if the partition holds the same rows already, else its rows are replaced."""
     spark, new = df.sparkSession, df.where(F.col(column) == value)
-    n = new.count()
-    try:
-        have = spark.read.parquet(path).where(F.col(column) == value).count()
-    except Exception:  # noqa: BLE001 - no table yet
-        have = -1
-    if have == n:
-        return "skipped"
+    fs, at = _file_system(spark, path)
+    if fs.exists(at(path)):
+        have = spark.read.parquet(path).where(F.col(column) == value)
+        if set(have.columns) == set(df.columns) and content(have.select(df.columns)) == content(new):
+            return "skipped"
     new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
     return "loaded"
 
 
+def overwrite_table(df: DataFrame, path: str) -> None:
+    """The table at ``path`` becomes df, schema included; df may read the table itself. Readers see the old or the new files' list, by their own start."""
+    publish({"table": df}, path)
+
+
+def append_log(df: DataFrame, path: str, keys: list[str]) -> int:
+    """Adds the rows of df whose keys the log does not hold yet, repeats of df once, and returns their number. Nothing in the log is changed."""
+    spark, fresh = df.sparkSession, df.dropDuplicates(keys)
+    fs, at = _file_system(spark, path)
+    if fs.exists(at(path)):
+        fresh = fresh.join(spark.read.parquet(path).select(*keys), keys, "left_anti")
+    fresh, n = cut_and_sum(fresh, F.lit(1))
+    if n:
+        fresh.write.mode("append").parquet(path)
+    return n
+
+
+def partitions_of(df: DataFrame, column: str) -> Iterator[tuple[object, DataFrame]]:
+    """(value, rows) of one partition after the other, in order of the values; a filter on a partition column reads that partition alone."""
+    values = [r[0] for r in df.select(column).distinct().sort(column).collect()]  # partitions, not rows
+    for v in values:
+        yield v, df.where(F.col(column).eqNullSafe(F.lit(v)))
+
+
+def batches_of(df: DataFrame, rows: int) -> Iterator[pd.DataFrame]:
+    """The rows as frames of at most ``rows``; the driver holds one partition at a time."""
+    some: list = []
+    for r in df.toLocalIterator():
+        some.append(r)
+        if len(some) == rows:
+            yield pd.DataFrame(some, columns=df.columns)
+            some = []
+    if some:
+        yield pd.DataFrame(some, columns=df.columns)
+
+
+def read_records(spark: SparkSession, name: str) -> DataFrame:
+    """Records to link: a delimited file or folder of them by its ending, a parquet folder by its path, else a table of the catalogue by its name."""
+    if re.search(r"\.(csv|tab|tsv)(\.gz)?$", name.lower()):
+        return read_delimited(spark, name).drop("loaded_at")
+    return spark.read.parquet(name) if "/" in name else spark.table(name)
+
+
+def write_records(df: DataFrame, name: str) -> None:
+    """Linked records to where ``read_records`` finds them; a file's name gives a folder of that name."""
+    if re.search(r"\.(csv|tab|tsv)$", name.lower()):
+        write_delimited(df, name, df.dtypes)
+    elif "/" in name:
+        df.write.mode("overwrite").parquet(name)
+    else:
+        df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
+
+
 def _file_system(spark: SparkSession, path: str):
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -97,8 +158,9 @@ def publish(tables: dict[str, DataFrame], root: str, gates: dict[str, DataFrame]
     version = uuid.uuid4().hex
     manifest: dict = {"published": True, "version": version, "tables": {}}
     for name, df in tables.items():
-        df.write.mode("errorifexists").parquet(f"{root}/{version}/{name}")
-        manifest["tables"][name] = {"rows": spark.read.parquet(f"{root}/{version}/{name}").count()}
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(f"{root}/{version}/{name}")
+        manifest["tables"][name] = {"rows": seen.get["n"]}
     fs, path = _file_system(spark, root)
 
     def put(where: str, text: str) -> None:
@@ -107,19 +169,22 @@ def publish(tables: dict[str, DataFrame], root: str, gates: dict[str, DataFrame]
         stream.close()
 
     put(f"{root}/{version}/manifest.json", json.dumps(manifest))
-    put(f"{root}/NEXT", version)
-    fs.delete(path(f"{root}/LIVE"), False)
-    fs.rename(path(f"{root}/NEXT"), path(f"{root}/LIVE"))
+    fs.mkdirs(path(f"{root}/LIVE"))
+    numbers = [int(x.getPath().getName()) for x in fs.listStatus(path(f"{root}/LIVE"))]
+    put(f"{root}/NEXT-{version}", version)
+    # one rename makes the pointer of the next number, the older ones stay: there is a live version at any time
+    if not fs.rename(path(f"{root}/NEXT-{version}"), path(f"{root}/LIVE/{max(numbers, default=0) + 1:012d}")):
+        raise RuntimeError("another publication has moved the pointer")
     return manifest
 
 
 def live_version(spark: SparkSession, root: str) -> str | None:
-    """The version the pointer names; between the steps of a move, the next one."""
+    """The version that the pointer with the greatest number names; None before the first publication."""
     fs, path = _file_system(spark, root)
-    for name in ("LIVE", "NEXT"):
-        if fs.exists(path(f"{root}/{name}")):
-            return spark.read.text(f"{root}/{name}").first().value
-    return None
+    if not fs.exists(path(f"{root}/LIVE")):
+        return None
+    last = max((x.getPath().getName() for x in fs.listStatus(path(f"{root}/LIVE"))), default=None)
+    return last and spark.read.text(f"{root}/LIVE/{last}").first().value
 
 
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quorum.operators.incremental import upsert
+from quorum.operators.windows import latest_by_struct
+from quorum.session import cut
 
 
 def weekly(events: DataFrame, at: str, keys: list[str], late: str = "7 days") -> DataFrame:
@@ -29,22 +30,21 @@ def run_available(stream: DataFrame, to_table: Callable[[DataFrame, int], None],
     return q
 
 
-def upsert_into(path: str, keys: list[str], order: list[str]) -> Callable[[DataFrame, int], None]:
-    """A sink that keeps the latest row of each key in versions under ``path``; a batch that is taken again writes its version again."""
+def upsert_into(path: str, keys: list[str], order: list[str], buckets: int = 64) -> Callable[[DataFrame, int], None]:
+    """A sink that keeps the latest row of each key under ``path``, in buckets of keys (column ``_bucket``).
 
-    def sink(batch: DataFrame, number: int) -> None:
-        from quorum.operators.windows import latest_by_struct
+    A batch reads and rewrites the buckets it has keys of, and no others. One that is taken again changes
+    nothing, and late data does not undo newer.
+    """
 
+    def sink(batch: DataFrame, number: int) -> None:
         spark: SparkSession = batch.sparkSession
-        updates = latest_by_struct(batch, keys, order)
-        table = updates
-        if number:
-            table = latest_by_struct(upsert_history(spark.read.parquet(f"{path}/{number - 1}"), updates, keys), keys, order)
-        table.write.mode("overwrite").parquet(f"{path}/{number}")
+        rows = cut(latest_by_struct(batch, keys, order).withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")))
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+            touched = [r[0] for r in rows.select("_bucket").distinct().collect()]  # at most ``buckets``
+            have = spark.read.schema(rows.schema).parquet(path).where(F.col("_bucket").isin(touched))
+            rows = cut(latest_by_struct(have.unionByName(rows), keys, order))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(path)
 
     return sink
-
-
-def upsert_history(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
-    """Target rows beside the updates' rows; of one key the sink keeps the later, so late data does not undo newer."""
-    return target.unionByName(updates) if set(target.columns) == set(updates.columns) else upsert(target, updates, keys)

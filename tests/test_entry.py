@@ -36,7 +36,7 @@ def test_query_equals_sql(spark, small, duck, name):
 
 
 #: one side of their nested loop is an aggregate of one row
-ONE_ROW = {"cross_scalar", "quality_gate", "trailing_window_flags", "freshness_lag"}
+ONE_ROW = {"cross_scalar", "quality_gate", "trailing_window_flags", "freshness_lag", "user_base"}
 
 
 @pytest.mark.parametrize("name", sorted(set(catalogue.queries()) - {"p3_profile", "p3_found", "p5_consistent", "p5_aliases", "record_linkage"}))
@@ -46,6 +46,11 @@ def test_plans_have_no_product(spark, small, name):
     assert name in ONE_ROW or "BroadcastNestedLoopJoin" not in plan
 
 
+def test_served_people_are_counted_in_order(spark, small):
+    rows = catalogue.queries()["people_served"](spark, small).collect()
+    assert rows and all(r.once <= r.per_type <= r.per_district <= r.per_row for r in rows)
+
+
 def test_core_does_not_need_the_llm_part():
     import pathlib
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quorum.operators import drift, profile
 from quorum.plans import drift as drift_plan
+from quorum.plans import general
 
 COLS = [profile.Profiled("code", pattern="^[0-9]{2}$"), profile.Profiled("n", True, low=1, high=100)]
 
@@ -32,7 +33,7 @@ def test_base_aggregates_against_brute_force(spark):
 
 def test_findings(spark):
     data = [("d1", f"{i % 50 + 10}", 10 + i % 5) for i in range(200)] + [("d2", None if i % 3 == 0 else "10", 60) for i in range(200)] + [("d3", "1x", 0)]
-    got = {(r.load_day, r.column_name, r.finding) for r in profile.findings(profile.profile_loads(loads(spark, data), F.col("day"), COLS)).collect()}
+    got = {(r.load_day, r.column_name, r.finding) for r in profile.findings(profile.exact_profile(loads(spark, data), F.col("day"), COLS)).collect()}
     assert got == {("d2", "code", "nulls"), ("d2", "code", "distinct"), ("d2", "n", "distinct"), ("d2", "n", "shift"), ("d3", "code", "nulls"), ("d3", "code", "pattern"), ("d3", "n", "shift"), ("d3", "n", "range")}
 
 
@@ -45,6 +46,20 @@ def test_classifier_finds_the_changed_column(spark):
     assert abs(got["d3", "code"].column_auc - 0.5) < 0.06 and abs(got["d3", "code"].ablation) < 0.06
 
 
+def test_classifier_tells_the_damaged_loads(spark):
+    zips = spark.read.parquet("/root/testdata/sf0.01/zip_code_to_l2_district.parquet")
+    at, cols = general.PROFILED["zip_code_to_l2_district"]
+    rows = profile.profile_loads(zips, F.date_format(at, "yyyy-MM-dd"), cols).collect()
+    found = {}
+    for r in profile.findings(profile.exact_profile(zips, F.date_format(at, "yyyy-MM-dd"), cols)).collect():
+        found.setdefault((r.load_day, r.column_name), set()).add(r.finding)
+    moved = {k for k, f in found.items() if f & {"shift", "distinct"}}
+    assert moved == {(r.load_day, r.column_name) for r in rows if r.column_differs} - {k for k, f in found.items() if f == {"nulls"}}
+    assert {k[0] for k in moved} <= {r.load_day for r in rows if r.load_differs}
+    clean = {r.load_day for r in rows} - {k[0] for k in found}
+    assert not any(r.load_differs for r in rows if r.load_day in clean)
+
+
 def test_profile_of_nothing(spark):
     assert profile.profile_loads(loads(spark, []), F.col("day"), COLS).count() == 0
     assert profile.profile_loads(loads(spark, [("d1", None, None)]), F.col("day"), COLS).where("auc IS NULL").count() == 2
