@@ -24,7 +24,7 @@ UNKNOWN = 0.7
 RIDGE, SHRINK = 0.02, 0.2
 MATCHED = 0.5
 #: steps end when no posterior moves by more than this, or, should they swing, after so many
-STILL, MOST_PLAIN, MOST_CONSTRAINED = 1e-3, 200, 4
+STILL, MOST_PLAIN, MOST_CONSTRAINED = 1e-3, 200, 3
 #: legs below this cannot break transitivity; a third side below VETO lowers a leg instead of being raised
 LEG, VETO = 0.3, 0.05
 COMPARED = ["body", "seat", *variants.GIVEN, "email", "phone"]
@@ -186,8 +186,7 @@ def match_across_sources(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     seen = _Patterns(pairs)
     gamma = mixture.posterior(seen.x) * seen.free
     for _ in range(MOST_CONSTRAINED):
-        held = cut(_transitive(seen.with_gamma(pairs, gamma)))
-        before, gamma = gamma, seen.step(seen.averaged(held))
+        before, gamma = gamma, seen.step(seen.averaged(_transitive(seen.with_gamma(pairs, gamma))))
         if np.abs(gamma - before).max() < STILL:
             break
     held = _transitive(seen.with_gamma(pairs, gamma)).withColumnRenamed("gamma", "confidence")

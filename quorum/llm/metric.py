@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quorum.operators.graph import cut_and_sum
 from quorum.session import cut
 
 #: a group of n names has the root of n / CELL pivots; names in a block
@@ -31,21 +32,27 @@ def radius_join(names: DataFrame, radius: int) -> DataFrame:
     ``names`` has grp and name; repeats and null names or groups do not count. Each pair comes once. Names of
     any length are compared whole.
     """
-    n = names.where(F.col("grp").isNotNull() & F.col("name").isNotNull()).select("grp", "name").distinct()
-    n = cut(n)
-    sizes = n.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("name").alias("h"), F.col("name").alias("name"))).getField("name").alias("least"))
+    n = cut(names.where(F.col("grp").isNotNull() & F.col("name").isNotNull()).select("grp", "name").distinct())
+    sizes, n_large = cut_and_sum(n.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("name").alias("h"), F.col("name").alias("name"))).getField("name").alias("least")), (F.col("n") > CELL).cast("int"))
+    small = n.join(sizes.where(F.col("n") <= CELL).select("grp", F.col("least").alias("pivot")), "grp").select("grp", "name", "pivot", F.levenshtein("name", "pivot").alias("d"), F.lit(True).alias("is_home"))
+    if not n_large:  # every group is one cell and one block
+        return _distances(_in_blocks(cut(small).withColumns({"hb": F.lit(1), "vb": F.lit(1)}), radius))
     want = F.ceil(F.sqrt(F.col("n") / CELL))
     sampled = n.join(sizes.where(F.col("n") > CELL), "grp").where((_unit("name") < want / F.col("n")) | (F.col("name") == F.col("least"))).select("grp", F.col("name").alias("pivot"))
-    only = sizes.where(F.col("n") <= CELL).select("grp", F.col("least").alias("pivot"))
     near = n.join(sampled, "grp").withColumn("d", F.levenshtein("name", "pivot"))
     per_name = near.groupBy("grp", "name").agg(F.min(F.struct("d", "pivot")).alias("home"), F.collect_list(F.struct("pivot", "d")).alias("all"))
     cells = per_name.select("grp", "name", F.col("home.pivot").alias("nearest"), F.explode(F.filter("all", lambda x: x["d"] <= F.col("home.d") + 2 * radius)).alias("c")).select("grp", "name", F.col("c.pivot").alias("pivot"), F.col("c.d").alias("d"), (F.col("c.pivot") == F.col("nearest")).alias("is_home"))
-    single = n.join(only, "grp").select("grp", "name", "pivot", F.levenshtein("name", "pivot").alias("d"), F.lit(True).alias("is_home"))
-    placed = cut(cells.unionByName(single))
-    counts = placed.groupBy("grp", "pivot").agg(F.ceil(F.count_if("is_home") / BLOCK).cast("int").alias("hb"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("vb"))
-    sized = placed.join(counts.where("hb > 0"), ["grp", "pivot"])
+    placed = cut(cells.unionByName(small))
+    blocks = placed.groupBy("grp", "pivot").agg(F.ceil(F.count_if("is_home") / BLOCK).cast("int").alias("hb"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("vb")).where("hb > 0")
+    blocks, n_large = cut_and_sum(blocks, (F.col("vb") > 1).cast("int"))
+    sized = placed.join(blocks, ["grp", "pivot"])
+    if not n_large:
+        return _distances(_in_blocks(sized, radius))
     large, long = F.col("vb") > 1, F.length("name") > KEYED
-    pairs = _in_blocks(sized.where(~large), radius).unionByName(_in_blocks(sized.where(large & long), radius)).unionByName(_by_keys(sized.where(large & (F.length("name") <= KEYED + radius)), radius))
+    return _distances(_in_blocks(sized.where(~large | long), radius).unionByName(_by_keys(sized.where(large & (F.length("name") <= KEYED + radius)), radius)))
+
+
+def _distances(pairs: DataFrame) -> DataFrame:
     return pairs.select("grp", F.least("x", "y").alias("name_a"), F.greatest("x", "y").alias("name_b"), F.levenshtein("x", "y").alias("distance")).distinct()
 
 
