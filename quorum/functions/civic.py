@@ -19,6 +19,26 @@ OFFICE_CATEGORIES = [
     ("council", r"council|councillor|councilor|alderman|selectman|commission|trustee"),
     ("mayor", r"mayor"), ("clerk", r"clerk"), ("treasurer", r"treasurer"), ("supervisor", r"supervisor"), ("judge", r"judge"),
 ]
+# Office types, by what a candidate's office is called in full, or is like; the first that fits decides.
+OFFICE_TYPES = [
+    ("Alderman", ["alderman", "alderperson"], []),
+    ("Attorney", [], ["%attorney%"]),
+    ("City Council", ["city commission", "city commissioner", "city council", "town chair", "township council"], []),
+    ("Clerk/Treasurer", ["clerk", "treasurer", "city clerk", "township clerk", "clerk/treasurer", "county court clerk"], ["county clerk%", "county treasurer%"]),
+    ("Congressional", ["congressional", "u.s. representative", "u.s. senator"], []),
+    ("County Supervisor", ["county commissioner", "county council", "county trustee", "county legislature"], ["county executive%", "county legislat%", "board of supervisor%"]),
+    ("Judge", ["circuit court", "district court", "probate court", "supreme court"], ["%judge%", "%magistrate%", "%justice of the peace%", "%appellate court%", "%supreme court%"]),
+    ("Mayor", ["mayor", "village president", "township mayor"], []),
+    ("President", ["president"], []),
+    ("School Board", ["board of education", "school board"], []),
+    ("Sheriff", ["constable", "county constable", "sheriff"], ["county sheriff%"]),
+    ("State House", ["house of delegates", "house of representatives", "state assembly", "state house", "state representative"], []),
+    ("State Senate", ["state senate", "state senator"], []),
+    ("Statewide/Governor", ["governor", "lieutenant governor"], []),
+    ("Town Council", ["town council", "town trustee", "township supervisor", "village board", "village council", "village trustee"], []),
+]
+# Office levels by what a race's name is like; the first that fits decides.
+OFFICE_LEVELS = [("County", [], ["%county%"]), ("State", [], ["%state senate%", "%state house%", "%state assembly%", "%state circuit court%", "%court of appeals%"])]
 # Words before a seat's number, words before a district's name.
 SEAT_WORDS = "ward|seat|post|place|group|division|precinct|zone|district"
 DISTRICT_WORDS = "District|Ward|Place|Branch|Subdistrict|Zone|Precinct|Position|Area|Region|Circuit|Division|Post|Section|Subdivision|Seat"
@@ -52,6 +72,26 @@ def office_category(c: Column) -> Column:
     return out.otherwise("other")
 
 
+def _first_like(c: Column, table: list[tuple[str, list[str], list[str]]], other: str) -> Column:
+    s, out = F.lower(c), F.lit(other)
+    for name, whole, like in reversed(table):
+        fits = s.isin(whole)
+        for pattern in like:
+            fits = fits | s.like(pattern)
+        out = F.when(fits, name).otherwise(out)
+    return out
+
+
+def office_type(c: Column) -> Column:
+    """A candidate's office in one of the office types, 'Other' for what fits none and for null."""
+    return _first_like(c, OFFICE_TYPES, "Other")
+
+
+def office_level(c: Column) -> Column:
+    """County, State or Local, by a race's name."""
+    return _first_like(c, OFFICE_LEVELS, "Local")
+
+
 def seat_designator(c: Column) -> Column:
     """The number after a seat word, else 'atlarge', else a number at the end, else null."""
     s = F.lower(c)

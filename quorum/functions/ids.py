@@ -6,6 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def random_uuid() -> Column:
+    """A new id for every row, for what has no key of its own, such as one load of a file."""
+    return F.uuid()
+
+
 def as_uuid(hexed: Column) -> Column:
     """The first 32 hexadecimal digits of a text in groups of 8-4-4-4-12."""
     cuts = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]

@@ -62,6 +62,18 @@ def jaro_winkler(a: Column, b: Column) -> Column:
     return _jaro_winkler(a, b)
 
 
+def jaro_winkler_at_least(a: Column, b: Column, least: float) -> Column:
+    """jaro_winkler where it can be ``least`` or more by the letters in common, 0 elsewhere; null if a side is null.
+
+    What falls short is told by built-in functions, and costs Python no more than a null.
+    """
+    long, short = F.greatest(F.length(a), F.length(b)), F.least(F.length(a), F.length(b))
+    lead = F.when(F.substring(a, 1, PREFIX) == F.substring(b, 1, PREFIX), PREFIX).otherwise(PREFIX - 1) * F.lit(WEIGHT)
+    reach = lambda m: (m / long + m / short + 1) / 3 * (1 - lead) + lead >= least - 1e-9
+    may = (long > 0) & reach(short) & reach(common_letters(a, b)) & (a != b)
+    return F.when(a == b, 1.0).when(a.isNotNull() & b.isNotNull(), F.coalesce(_jaro_winkler(F.when(may, a), F.when(may, b)), F.lit(0.0)))
+
+
 #: letters from rare to frequent; any fixed order is right, this one makes small blocks
 RARE_FIRST = "qjzxvkwybpgfmucdlhrsnioate"
 KEY = 3

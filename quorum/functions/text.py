@@ -83,6 +83,11 @@ def code_of(*parts: Column) -> Column:
     return F.when(~blank, F.concat_ws("__", *[F.regexp_replace(F.lower(F.trim(p)), r"\s+", "-") for p in parts]))
 
 
+def json_columns(doc: Column, registry: list[tuple[str, str, str]]) -> list[Column]:
+    """The typed columns that a registry of (column, field, kind) names."""
+    return [json_field(doc, field, kind).alias(name) for name, field, kind in registry]
+
+
 def json_field(doc: Column, field: str, kind: str) -> Column:
     """A typed field of a JSON text that never raises: '' and malformed values are null.
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quorum.functions.ids import fingerprint, salted_uuid
 
@@ -25,6 +28,11 @@ def newer_than_per_key(source: DataFrame, target: DataFrame, key: str, at: str)
     return source.join(last, F.col(key) == F.col("__k"), "left").where(F.col("__last").isNull() | (F.col(at) > F.col("__last"))).drop("__k", "__last")
 
 
+def run_if_any(increment: DataFrame, build: Callable[[DataFrame], DataFrame], schema: StructType | str) -> DataFrame:
+    """build(increment), or nothing of the same schema without running it where there is no increment. One row is read to know."""
+    return increment.sparkSession.createDataFrame([], schema) if increment.isEmpty() else build(increment)
+
+
 def affected(source: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     """All source rows of the keys that changed, for computing those keys anew from all their rows."""
     return source.join(changes.select(*keys).distinct(), keys, "left_semi")

@@ -75,13 +75,22 @@ def events_before(anchors: DataFrame, events: DataFrame, key: str, anchor: str,
 def covered_on(points: DataFrame, spans: DataFrame, key: str, day: str, start: str, end: str, verdict: Column) -> DataFrame:
     """points with covered: verdict aggregated over the spans of the key that hold the day; null without any.
 
-    A null end is open, a null start never holds.
+    A null end is open, a null start never holds. How many spans are open on a day is a running sum of starts
+    and ends, first over the months of a key and then within a month: spans and points of a hot key never
+    meet, and no task sorts more than a month of it.
     """
-    hit = (F.col("__k") == F.col(key)) & (F.col("__s") <= F.col(day)) & (F.col("__e").isNull() | (F.col("__e") >= F.col(day)))
-    s = spans.select(F.col(key).alias("__k"), F.col(start).alias("__s"), F.col(end).alias("__e"), verdict.alias("__v"))
-    days = points.select(key, day).distinct()
-    got = days.join(s, hit).groupBy(key, day).agg(F.bool_or("__v").alias("covered"))
-    return points.join(got, [key, day], "left")
+    s = spans.where(F.col(start).isNotNull() & (F.col(end).isNull() | (F.col(end) >= F.col(start)))).select(F.col(key).alias("__k"), F.col(start).cast("date").alias("__s"), F.col(end).cast("date").alias("__e"), F.coalesce(verdict, F.lit(False)).cast("int").alias("__v"), verdict.isNotNull().cast("int").alias("__u"))
+    moves = s.select("__k", F.col("__s").alias("__d"), F.col("__u").alias("__any"), "__v").unionByName(s.where("__e IS NOT NULL").select("__k", F.date_add("__e", 1).alias("__d"), (-F.col("__u")).alias("__any"), (-F.col("__v")).alias("__v")))
+    daily = moves.groupBy("__k", "__d").agg(F.sum("__any").alias("__any"), F.sum("__v").alias("__v"))
+    days = points.select(F.col(key).alias("__k"), F.col(day).cast("date").alias("__d")).where("__k IS NOT NULL AND __d IS NOT NULL").distinct()
+    all_ = daily.withColumn("__asked", F.lit(0)).unionByName(days.select("__k", "__d", F.lit(0).cast("bigint").alias("__any"), F.lit(0).cast("bigint").alias("__v"), F.lit(1).alias("__asked")))
+    all_ = all_.withColumn("__m", F.trunc("__d", "month"))
+    before = Window.partitionBy("__k").orderBy("__m").rowsBetween(Window.unboundedPreceding, -1)
+    months = all_.groupBy("__k", "__m").agg(F.sum("__any").alias("__any"), F.sum("__v").alias("__v")).select("__k", "__m", F.coalesce(F.sum("__any").over(before), F.lit(0)).alias("__any0"), F.coalesce(F.sum("__v").over(before), F.lit(0)).alias("__v0"))
+    within = Window.partitionBy("__k", "__m").orderBy("__d", "__asked").rowsBetween(Window.unboundedPreceding, 0)
+    open_ = all_.withColumns({"__any": F.sum("__any").over(within), "__v": F.sum("__v").over(within)}).where("__asked = 1").join(months, ["__k", "__m"])
+    got = open_.where("__any + __any0 > 0").select(F.col("__k").alias(key), F.col("__d").alias("__day"), (F.col("__v") + F.col("__v0") > 0).alias("covered"))
+    return points.withColumn("__day", F.col(day).cast("date")).join(got, [key, "__day"], "left").drop("__day")
 
 
 def in_range(points: DataFrame, ranges: DataFrame, on: list[str], value: str, low: str, high: str, width: float) -> DataFrame:

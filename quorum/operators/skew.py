@@ -12,6 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def folded_pairs(df: DataFrame, key: Column, secondary: Column, latest: Column) -> DataFrame:
+    """_k, _s, _n, _t: how often a pair occurs and its greatest ``latest``; repeats are folded in the tasks that read them."""
+    rows = df.select(key.alias("_k"), secondary.alias("_s"), latest.alias("_t"))
+    return rows.groupBy("_k", "_s").agg(F.count(F.lit(1)).alias("_n"), F.max("_t").alias("_t"))
+
+
 def balanced_by_key(df: DataFrame, key: Column, secondary: Column, latest: Column) -> DataFrame:
     """One row per key (null is a key too): key, n_rows, n_distinct, latest.
 
@@ -20,8 +26,7 @@ def balanced_by_key(df: DataFrame, key: Column, secondary: Column, latest: Colum
     repeats of a pair, (key, null) too, are folded where they are read, then each range is folded to states.
     An empty table gives no rows.
     """
-    rows = df.select(key.alias("_k"), secondary.alias("_s"), latest.alias("_t"))
-    pairs = rows.groupBy("_k", "_s").agg(F.count(F.lit(1)).alias("_n"), F.max("_t").alias("_t")).repartitionByRange("_k", "_s")
+    pairs = folded_pairs(df, key, secondary, latest).repartitionByRange("_k", "_s")
     return (
         pairs.groupBy("_k")
         .agg(F.sum("_n").alias("n_rows"), F.count("_s").alias("n_distinct"), F.max("_t").alias("latest"))

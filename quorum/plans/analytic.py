@@ -292,9 +292,17 @@ def stage_depths(spark: SparkSession, d: str) -> DataFrame:
     return e.select("election_stage", civic.stage_type(F.col("election_stage")).alias("stage"), civic.stage_depth(civic.stage_type(F.col("election_stage"))).alias("depth"))
 
 
+#: column, field of the document, kind
+EVENT_PROPERTIES = [("k", "k", "bigint"), ("k_flag", "k", "boolean"), ("absent", "absent", "date")]
+
+
 def json_fields(spark: SparkSession, d: str) -> DataFrame:
-    e = events(spark, d)
-    return e.select("event_id", text.json_field(F.col("props"), "k", "bigint").alias("k"), text.json_field(F.col("props"), "k", "boolean").alias("k_flag"), text.json_field(F.col("props"), "absent", "date").alias("absent"))
+    return events(spark, d).select("event_id", *text.json_columns(F.col("props"), EVENT_PROPERTIES))
+
+
+def office_types(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "dummy_data").select("unique_id", "candidate_office", "official_office_name").distinct()
+    return e.select("unique_id", "official_office_name", civic.office_type(F.col("candidate_office")).alias("office_type"), civic.office_level(F.col("official_office_name")).alias("office_level")).distinct()
 
 
 EVENT_FAMILIES = {"signup": "account", "purchase": "conversion", "error": "fault", "view": "engagement", "click": "engagement"}
@@ -378,7 +386,7 @@ def record_linkage(spark: SparkSession, d: str) -> DataFrame:
 
     e = cut(spread(cut(table(spark, d, "dummy_data_elected").select("unique_id", "source_name", "state", F.lower("last_name").alias("last"), text.letters_only(F.col("first_name")).alias("first"), F.split(F.lower("official_office_name"), "[^a-z]+").alias("office"), F.lower("email").alias("email"), "phone", F.col("ballotready_position_id").alias("position")).distinct())))
     cols = ["source_name", "last", "first", "office", "email"]
-    jw = similarity.jaro_winkler
+    jw = lambda x, y: similarity.jaro_winkler_at_least(x, y, 0.92)
     comparisons = [
         linkage.Comparison("last", ["last"], [F.col("l_last") == F.col("r_last"), F.col("jw_last") >= 0.92]),
         linkage.Comparison("first", ["first"], [F.col("l_first") == F.col("r_first"), F.col("jw_first") >= 0.92]),
@@ -393,6 +401,18 @@ def record_linkage(spark: SparkSession, d: str) -> DataFrame:
     return scored.where((F.col("match_probability") >= 0.01) & (F.col("gamma_last") != 0) & (F.col("gamma_office") > 0)).select("id_l", "id_r", F.round("match_probability", 6).alias("match_probability"))
 
 
+def linkage_clusters(spark: SparkSession, d: str) -> DataFrame:
+    """record, cluster_id: the records that pairs of a probability of 0.8 or more link, directly or through others."""
+    return linkage.clusters(record_linkage(spark, d), 0.8)
+
+
+def term_frequencies(spark: SparkSession, d: str) -> DataFrame:
+    """How rare a surname is: what raises the weight of an agreement on it."""
+    e = table(spark, d, "dummy_data_elected").select("unique_id", "source_name", F.lower("last_name").alias("last")).distinct()
+    tf = linkage.frequency_adjustment(e.where("source_name = 'ballotready'"), e.where("source_name <> 'ballotready'"), "last")
+    return tf.select(F.col("value").alias("last"), F.round("tf", 12).alias("tf"))
+
+
 def similarity_scores(spark: SparkSession, d: str) -> DataFrame:
     p = part(spark, d).select(F.col("p_brand").alias("brand"), "p_name")
     x = p.groupBy("brand").agg(F.min("p_name").alias("a"), F.max("p_name").alias("b"))
@@ -464,8 +484,8 @@ PLANS = [
     group_agg, count_distinct_conditional, conditional_agg, bool_rollup, max_by_fallback, mode_deterministic, collect_sorted_structs, percentile_iqr_outliers, rollup_all_label, safe_ratio, bucket_histogram,
     mass_allocation, majority_membership, rss_margin, wilson_interval, count_once, metric_simple, metric_cumulative, ranked_pick, topk_per_group, window_totals, first_value_ignore_nulls, sessionize_gap,
     window_collect_union, sibling_resolution, trailing_window_flags, tumbling_week, unpivot, stack_reshape, unpivot_dynamic, pivot_conditional, incremental_watermark, incremental_per_key, affected_key_recompute,
-    version_fingerprint, scd2_snapshot, mint_canonical_id, salted_ids, election_ids, slugs, text_normalization, office_match_keys, district_parts, election_days, stage_depths, json_fields, event_families, freshness_lag, tri_state_gate, multi_format_dates,
-    deidentified, human_names, connected_components, record_linkage, similarity_scores, interval_bounds, waterfall_scoring, state_as_of, scalar_if_unambiguous, fail_closed_resolution, share_projection, geo_slugs, canonical_crosswalk,
+    version_fingerprint, scd2_snapshot, mint_canonical_id, salted_ids, election_ids, slugs, text_normalization, office_match_keys, district_parts, election_days, stage_depths, json_fields, office_types, event_families, freshness_lag, tri_state_gate, multi_format_dates,
+    deidentified, human_names, connected_components, record_linkage, linkage_clusters, term_frequencies, similarity_scores, interval_bounds, waterfall_scoring, state_as_of, scalar_if_unambiguous, fail_closed_resolution, share_projection, geo_slugs, canonical_crosswalk,
 ]
 
 

@@ -8,7 +8,18 @@ _TOKENS = r"""list_filter(list_transform(list_transform(string_split(regexp_repl
   lambda t: regexp_replace(t, '[!-/:-@\[-`{-~]+$', '')), lambda t: coalesce(map_extract(MAP {ROMAN}, t)[1], t)), lambda t: length(t) > 1 AND NOT regexp_matches(t, '^[0-9]+$') AND t NOT IN ('STOP'))"""
 _TOKENS = _TOKENS.replace("ROMAN", ", ".join(f"'r-{r}': 'r-{i + 1}'" for i, r in enumerate(civic.ROMAN))).replace("STOP", _IN(civic.OFFICE_STOP_WORDS))
 
+def _case(column: str, table: list[tuple[str, list[str], list[str]]], other: str) -> str:
+    arms = []
+    for name, whole, like in table:
+        fits = [f"lower({column}) = '{w}'" for w in whole] + [f"lower({column}) LIKE '{p}'" for p in like]
+        arms.append(f"WHEN {' OR '.join(fits)} THEN '{name}'")
+    return f"CASE {' '.join(arms)} ELSE '{other}' END"
+
+
 SQL: dict[str, str] = {
+    "office_types": f"SELECT DISTINCT unique_id, official_office_name, {_case('candidate_office', civic.OFFICE_TYPES, 'Other')} AS office_type, {_case('official_office_name', civic.OFFICE_LEVELS, 'Local')} AS office_level FROM dummy_data",
+    "term_frequencies": """WITH e AS (SELECT DISTINCT unique_id, source_name, lower(last_name) AS last FROM dummy_data_elected), x AS (SELECT last, count(*) AS n FROM e WHERE last IS NOT NULL AND source_name IS NOT NULL GROUP BY 1)
+        SELECT last, round(n / sum(n) OVER (), 12) AS tf FROM x""",
     "group_agg": """SELECT l_returnflag, l_linestatus, round(sum(l_quantity), 2) AS sum_qty, round(sum(l_extendedprice * (1 - l_discount)), 2) AS sum_net, round(avg(l_discount), 6) AS avg_disc,
         min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship, count(*) AS n FROM lineitem GROUP BY 1, 2""",
     "count_distinct_conditional": "SELECT o_orderpriority, count(DISTINCT o_custkey) AS customers, count(DISTINCT CASE WHEN o_orderstatus = 'P' THEN o_custkey END) AS pending_customers FROM orders GROUP BY 1",

@@ -43,7 +43,13 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-def _p3_sql() -> str:
+def p3_exact(spark: SparkSession, d: str) -> DataFrame:
+    """The exact part of the profile: every column of every load."""
+    parts = [profile.exact_profile(table(spark, d, t), F.date_format(at, DAY), cols).withColumn("table_name", F.lit(t)) for t, (at, cols) in PROFILED.items()]
+    return parts[0].unionByName(parts[1]).select("table_name", "load_day", "column_name", "n_rows", "n_nulls", "n_distinct", "median", "n_off_range", "n_off_pattern", "b_n_rows", "b_n_nulls", "b_n_distinct", "b_median")
+
+
+def _p3_base_sql() -> str:
     longs = []
     for t, (at, cols) in PROFILED.items():
         for c in cols:
@@ -51,15 +57,21 @@ def _p3_sql() -> str:
             off = f"count(*) FILTER (WHERE {c.name} < {c.low} OR {c.name} > {c.high})" if c.number else "0"
             med = f"quantile_disc({c.name}, 0.5)" if c.number else "NULL::BIGINT"
             longs.append(f"SELECT '{t}' table_name, strftime({at}, '%Y-%m-%d') load_day, '{c.name}' column_name, count(*) n, count(*) - count({c.name}) nn, count(DISTINCT {c.name}) nd, {med} med, {off} off_range, {bad} off_pattern FROM {t} WHERE {at} IS NOT NULL GROUP BY 2")
-    return (
-        "WITH s AS (" + "\nUNION ALL ".join(longs) + """),
+    return "WITH s AS (" + "\nUNION ALL ".join(longs) + """),
 b AS (SELECT *, lag(n) OVER w bn, lag(nn) OVER w bnn, lag(nd) OVER w bnd, lag(med) OVER w bmed FROM s WINDOW w AS (PARTITION BY table_name, column_name ORDER BY load_day))
-SELECT table_name, load_day, column_name, 'nulls' AS finding FROM b WHERE 10 * abs(nn * bn - bnn * n) > n * bn
+"""
+
+
+def _p3_exact_sql() -> str:
+    return _p3_base_sql() + "SELECT table_name, load_day, column_name, n AS n_rows, nn AS n_nulls, nd AS n_distinct, med AS median, off_range AS n_off_range, off_pattern AS n_off_pattern, bn AS b_n_rows, bnn AS b_n_nulls, bnd AS b_n_distinct, bmed AS b_median FROM b"
+
+
+def _p3_sql() -> str:
+    return _p3_base_sql() + """SELECT table_name, load_day, column_name, 'nulls' AS finding FROM b WHERE 10 * abs(nn * bn - bnn * n) > n * bn
 UNION ALL SELECT table_name, load_day, column_name, 'distinct' FROM b WHERE nd > 2 * bnd OR 2 * nd < bnd
 UNION ALL SELECT table_name, load_day, column_name, 'shift' FROM b WHERE med > 2 * bmed OR 2 * med < bmed
 UNION ALL SELECT table_name, load_day, column_name, 'range' FROM b WHERE off_range > 0
 UNION ALL SELECT table_name, load_day, column_name, 'pattern' FROM b WHERE off_pattern > 0"""
-    )
 
 
 # ---- problem 6: references to records that do not exist
@@ -148,8 +160,8 @@ UNION ALL SELECT 'state', s, count(*), count(DISTINCT v), max(t) FROM dv GROUP B
 
 
 def queries() -> dict:
-    return {"p3_found": p3_found, "p3_profile": p3_profile, "p6_found": p6_found, "p6_counts": p6_counts, "p7_by_key": p7_by_key}
+    return {"p3_found": p3_found, "p3_profile": p3_profile, "p3_exact": p3_exact, "p6_found": p6_found, "p6_counts": p6_counts, "p7_by_key": p7_by_key}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p3_found": _p3_sql(), "p6_found": P6_FOUND_SQL, "p6_counts": P6_COUNTS_SQL, "p7_by_key": P7_BY_KEY_SQL}
+    return {"p3_found": _p3_sql(), "p3_exact": _p3_exact_sql(), "p6_found": P6_FOUND_SQL, "p6_counts": P6_COUNTS_SQL, "p7_by_key": P7_BY_KEY_SQL}

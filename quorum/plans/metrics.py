@@ -52,6 +52,27 @@ def registry_of(definitions: dict) -> dict[str, Metric]:
     return {m["name"]: Metric(m["name"], models[m["type_params"]["measure"]], m["type_params"]["measure"], plain(m.get("filter")), m["type"] == "cumulative") for m in definitions["metrics"]}
 
 
+def read_definitions(path: str) -> dict[str, Metric]:
+    """The metrics of a YAML or JSON file, or of all such files in a folder."""
+    import json
+    import pathlib
+
+    at = pathlib.Path(path)
+    both: dict[str, list] = {"semantic_models": [], "metrics": []}
+    for f in sorted(at.iterdir()) if at.is_dir() else [at]:
+        if f.suffix == ".json":
+            part = json.loads(f.read_text())
+        elif f.suffix in (".yml", ".yaml"):
+            import yaml  # only where such files are read
+
+            part = yaml.safe_load(f.read_text()) or {}
+        else:
+            continue
+        for k in both:
+            both[k] += part.get(k) or []
+    return registry_of(both)
+
+
 def time_spine(spark: SparkSession, first: str, last: str, grain: str = "day") -> DataFrame:
     return spark.sql(f"SELECT explode(sequence(date'{first}', date'{last}', interval 1 {grain})) AS period")
 

@@ -118,6 +118,8 @@ WHERE o_orderdate > (SELECT max(o_orderdate) - INTERVAL '365' DAY FROM {orders})
     "place_hierarchy": """WITH p AS (SELECT s_suppkey, concat_ws('/', lower(replace(r_name, ' ', '-')), lower(replace(n_name, ' ', '-')), CAST(s_suppkey % 7 AS STRING)) AS slug FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey),
 n AS (SELECT slug, count(*) AS n FROM p GROUP BY slug)
 SELECT s_suppkey, CASE WHEN n > 1 THEN concat_ws('-', p.slug, CAST(s_suppkey AS STRING)) ELSE p.slug END AS slug, n AS n_alike FROM p JOIN n ON p.slug = n.slug""",
+    # a fixed number of rows drawn by a hash of the key, the same ones every time
+    "sample_rows": """SELECT o_orderkey, o_custkey, o_orderstatus FROM {orders} ORDER BY md5(concat('draw', CAST(o_orderkey AS STRING))), o_orderkey LIMIT 500""",
     # voters for agents: a hashed key, an allow-list of columns, one row an id
     "agent_voters": """SELECT md5(concat_ws('|', 'agent', lower(trim(id)))) AS voter_key, min(upper(trim(state))) AS state, max(active) AS active, max(year(birthdate)) AS birth_year, count(*) AS n_records FROM {voter} WHERE id IS NOT NULL GROUP BY md5(concat_ws('|', 'agent', lower(trim(id))))""",
     # the stage of an election from its flags and its name, and the natural key of a source without ids

@@ -38,7 +38,16 @@ def test_balanced_by_key(spark):
     assert got == sorted([("hot", 3000, 300, 2999), ("cold", 2, 1, 9), (None, 1, 0, 5)], key=str)
     assert skew.balanced_by_key(df.limit(0), F.col("key"), F.col("s"), F.col("t")).count() == 0
     plan = skew.balanced_by_key(df, F.col("key"), F.col("s"), F.col("t"))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("rangepartitioning") >= 1 and plan.count("hashpartitioning") == 1  # ranges, then only states
+    assert plan.count("rangepartitioning") == 1 and plan.count("hashpartitioning") == 2  # repeats of a pair, then ranges, then only states
+
+
+def test_hot_pairs_are_folded_before_the_ranges(spark):
+    rows_ = [("hot", None, i) for i in range(3000)] + [("hot", "v", i) for i in range(3000)] + [(f"k{i % 7}", f"v{i}", i) for i in range(100)] + [(None, "v", None)]
+    df = spark.createDataFrame(rows_, "key string, s string, t int").repartition(6)
+    got = {r.key: (r.n_rows, r.n_distinct, r.latest) for r in skew.balanced_by_key(df, F.col("key"), F.col("s"), F.col("t")).collect()}
+    assert got["hot"] == (6000, 1, 2999) and got[None] == (1, 1, None) and sum(v[0] for v in got.values()) == len(rows_)
+    folded = skew.folded_pairs(df, F.col("key"), F.col("s"), F.col("t"))
+    assert folded.count() == 103 and {(r._s, r._n) for r in folded.where("_k = 'hot'").collect()} == {(None, 3000), ("v", 3000)}
     assert {r.key: round(r.share, 3) for r in skew.key_shares(df, F.col("key")).collect()}["hot"] == 0.999
 
 
@@ -216,5 +225,35 @@ def test_components_of_all_orders(spark, small):
             x, y = sorted((top(a), top(b)))
             parent[y] = x
     want = {x: top(x) for x in parent if any(len(c) > 1 and x in c for c in by.values())}
-    got = {r.v: r.component for r in catalogue.queries()["connected_components_all"](spark, small).collect()}
+    got = {r.v: r.component for r in catalogue.queries()["connected_components"](spark, small).collect()}
     assert got == want and any(v % 3 for v in got)
+
+
+def test_covered_on_against_brute_force(spark):
+    import random
+
+    rng = random.Random(5)
+    day = lambda: None if rng.random() < 0.1 else dt.date(2020, 1, 1) + dt.timedelta(rng.randrange(120))
+    spans = [(rng.choice([1, 1, 1, 2, None]), day(), day(), rng.choice([True, False, None])) for _ in range(60)]
+    points = [(rng.choice([1, 1, 2, 3, None]), day()) for _ in range(150)]
+    got = joins.covered_on(spark.createDataFrame(points, "k int, d date"), spark.createDataFrame(spans, "k int, s date, e date, v boolean"), "k", "d", "s", "e", F.col("v")).collect()
+
+    def want(k, d):
+        hits = [v for sk, s, e, v in spans if k is not None and d is not None and sk == k and s is not None and s <= d and (e is None or e >= d) and v is not None]
+        return None if not hits else any(hits)
+
+    assert sorted(((r.k, r.d, r.covered) for r in got), key=str) == sorted(((k, d, want(k, d)) for k, d in points), key=str)
+
+
+def test_empty_increment_is_not_run(spark):
+    df = spark.range(3)
+    assert incremental.run_if_any(df.where("id > 9"), lambda x: 1 / 0, "n bigint").columns == ["n"]
+    assert incremental.run_if_any(df, lambda x: x.withColumnRenamed("id", "n"), "n bigint").count() == 3
+
+
+def test_chance_pairs_are_bounded(spark):
+    from quorum.operators import linkage
+
+    big = spark.range(20_000).withColumnRenamed("id", "k")
+    assert 500 < linkage.chance_pairs(big, big, "k", 1000).count() < 2000
+    assert 2500 < linkage.chance_pairs(big.limit(100), big.limit(100), "k", 3000).count() <= 3000
