@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quorum.llm import metric, names, variants
+from quorum.llm import names, variants
 from quorum.session import cut
 
 FEATURES = ["s_name", "s_given", "s_office", "s_seat", "s_contact"]
@@ -88,7 +88,7 @@ def _rest_of_vector() -> list[Column]:
 def candidate_pairs(cls: DataFrame, relations: DataFrame) -> DataFrame:
     """a_cls, b_cls, a_source, b_source and the similarities of all classes of different sources in one place with surnames within two edits."""
     keys = cls.select(F.concat_ws("|", "state", "place").alias("grp"), F.explode(variants.surname_keys("surname", "surname_parts")).alias("k"))
-    near = cut(metric.radius_join(keys.select("grp", F.col("k.key").alias("name")), variants.RADIUS))
+    near = cut(variants.near_and_equal(keys.select("grp", F.col("k.key").alias("name"))))
     cols = ["cls", "source_name", *COMPARED]
 
     def side(s: str) -> DataFrame:
@@ -96,14 +96,13 @@ def candidate_pairs(cls: DataFrame, relations: DataFrame) -> DataFrame:
         return keyed.select(F.concat_ws("|", "state", "place").alias(f"{s}_grp"), F.col("k.key").alias(f"{s}_key"), F.col("k.full").alias(f"{s}_full"), *[F.col(c).alias(f"{s}_{c}") for c in cols])
 
     a, b = side("a"), side("b")
-    fit = (F.col("a_source_name") != F.col("b_source_name")) & (F.col("a_full") | F.col("b_full"))
-    same = a.join(b, (F.col("a_grp") == F.col("b_grp")) & (F.col("a_key") == F.col("b_key")) & (F.col("a_cls") < F.col("b_cls")) & fit).withColumn("distance", F.lit(0))
+    once = (F.col("distance") > 0) | (F.col("a_cls") < F.col("b_cls"))  # equal names meet once
+    fit = (F.col("a_source_name") != F.col("b_source_name")) & (F.col("a_full") | F.col("b_full")) & once
     met = near.join(a, (F.col("grp") == F.col("a_grp")) & (F.col("name_a") == F.col("a_key"))).join(b, (F.col("grp") == F.col("b_grp")) & (F.col("name_b") == F.col("b_key")) & fit)
     swap = F.col("a_cls") > F.col("b_cls")
     pick = lambda c: [F.when(swap, F.col(f"b_{c}")).otherwise(F.col(f"a_{c}")).alias(f"a_{c}"), F.when(swap, F.col(f"a_{c}")).otherwise(F.col(f"b_{c}")).alias(f"b_{c}")]
-    both = same.unionByName(met.drop("grp", "name_a", "name_b"))
     edits = F.when(variants.transposed(F.col("a_key"), F.col("b_key")), 1).otherwise(F.col("distance"))
-    scored = both.select(
+    scored = met.select(
         *pick("cls"), *pick("source_name"),
         F.round(1 - edits / F.greatest(F.length("a_key"), F.length("b_key"), F.lit(1)) - F.when(F.col("a_full") & F.col("b_full"), 0.0).otherwise(0.05), 2).alias("s_name"),
         *_rest_of_vector(),

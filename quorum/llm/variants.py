@@ -93,6 +93,12 @@ def _sides(cls: DataFrame) -> tuple[DataFrame, DataFrame]:
     return tuple(cls.select(*[F.col(c).alias(f"{s}_{c}") for c in cols]) for s in "ab")
 
 
+def near_and_equal(keys: DataFrame) -> DataFrame:
+    """grp, name_a, name_b, distance of the names of a group within the radius, and of every name with itself (0)."""
+    keys = cut(keys.distinct())
+    return metric.radius_join(keys, RADIUS).unionByName(keys.select("grp", F.col("name").alias("name_a"), F.col("name").alias("name_b"), F.lit(0).alias("distance")))
+
+
 def surname_keys(surname: str, parts: str) -> Column:
     """A surname and, of a compound, its parts: structs of key and full."""
     return F.array_distinct(F.concat(F.array(F.struct(F.col(surname).alias("key"), F.lit(True).alias("full"))), F.transform(parts, lambda p: F.struct(p.alias("key"), F.lit(False).alias("full")))))
@@ -109,11 +115,11 @@ def links(cls: DataFrame, near: DataFrame, cls_contacts: DataFrame, relations: D
     a, b = _sides(cls)
     level = given_level("a", "b")
     ka, kb = (named_keys(x, s) for x, s in ((a, "a"), (b, "b")))
-    once = (F.col("a_cls") != F.col("b_cls")) & (F.col("a_full") | F.col("b_full"))  # part of a compound against a whole surname only
-    same = ka.join(kb, (F.col("a_grp") == F.col("b_grp")) & (F.col("a_key") == F.col("b_key")) & (F.col("a_cls") < F.col("b_cls")) & once).withColumn("distance", F.lit(0))
+    # part of a compound meets whole surnames only; equal names meet once
+    once = (F.col("a_full") | F.col("b_full")) & F.when(F.col("distance") == 0, F.col("a_cls") < F.col("b_cls")).otherwise(F.col("a_cls") != F.col("b_cls"))
     met = near.join(ka, (F.col("grp") == F.col("a_grp")) & (F.col("name_a") == F.col("a_key"))).join(kb, (F.col("grp") == F.col("b_grp")) & (F.col("name_b") == F.col("b_key")) & once)
     keep = ["a_cls", "b_cls", "a_n", "b_n", "a_initial", "b_initial", "a_key", "b_key", "a_full", "b_full", "distance", "level"]
-    met = cut(same.withColumn("level", level).select(keep).unionByName(met.withColumn("level", level).select(keep)))
+    met = cut(met.withColumn("level", level).select(keep))
     rest = related_rest(met.where("level = 0"), cls, relations).withColumn("known", F.lit(2))
     pairs = met.where("level > 0").unionByName(met.where("level = 0").join(rest, ["a_cls", "b_cls"]).withColumn("level", F.col("known")).drop("known"))
     whole = F.col("a_full") & F.col("b_full")
@@ -156,7 +162,7 @@ def same_person(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     cls = cut(cls.join(often, ["state", "place", "surname"]))
     relations = cut(names.rare_relations(records))
     keys = cls.where("place <> ''").select(F.concat_ws("|", "state", "place").alias("grp"), F.explode(surname_keys("surname", "surname_parts")).alias("k"))
-    near = cut(metric.radius_join(keys.select("grp", F.col("k.key").alias("name")), RADIUS))
+    near = cut(near_and_equal(keys.select("grp", F.col("k.key").alias("name"))))
     return member.select("unique_id", "cls"), cut(links(cls, near, cut(contacts(member, "cls")), relations))
 
 

@@ -48,6 +48,13 @@ def test_parts():
     assert {names.seat_of(*s) for s in seats} == {"7"} and names.seat_of("0", "Mayor of Xenia", None) == ""
 
 
+def test_offices_without_a_common_wording():
+    towns = ["Springfield Sheriff", "Springfield Judge", "Springfield Water Board", "Town of Springfield Council", "Springfield Library District", "City of Springfield Assessor"]
+    assert {names.place_of(t) for t in towns} == {"springfield"} and len({names.body_of(t) for t in towns}) == len(towns)
+    assert names.body_of("Cook County Sheriff") != names.body_of("Cook County Assessor")
+    assert names.place_of("Springfield Dogcatcher", "Dogcatcher") == "springfield" and names.body_of("Springfield Dogcatcher", None, "Dogcatcher") == "dogcatcher"
+
+
 def test_one_edit():
     rng = random.Random(2)
     words = ["".join(rng.choice("abc") for _ in range(rng.randrange(1, 6))) for _ in range(120)]
@@ -90,6 +97,30 @@ def test_variants(spark):
     assert got == {(a, b) for a in same for b in same if a < b}
 
 
+def test_contact_of_one_person_under_many_spellings(spark):
+    spelled = ["Stonewall", "Stonewal", "Stonwall", "Stonewell", "Stonewalll"]
+    rows = [(str(i), "Robert", n, None, "Mayor of Springfield" if i else None, None, "5551234567") for i, n in enumerate(spelled)]
+    parts = names.parts_of_records(candidates(spark, rows), VOCABULARY)
+    assert variants.placeholders(parts).count() == 0 and variants.contacts(parts, "unique_id").count() == len(spelled)
+    others = rows + [(f"x{i}", "Ann", n, None, "Mayor of Springfield", None, "5551234567") for i, n in enumerate(["Marsh", "Quill", "Ferro", "Lindqvist"])]
+    assert [r.contact for r in variants.placeholders(names.parts_of_records(candidates(spark, others), VOCABULARY)).collect()] == ["5551234567"]
+
+
+def test_rare_names_are_related_by_a_table(spark):
+    rows = [("1", "Zebulon", "Stonewall", '["zebulon", "zeke"]', "Mayor of Springfield", None, None), ("2", "Zebulon", "Ferro", '["zebulon", "zeke"]', "Shelbyville Mayor", None, None),
+            ("3", "Zebulon", "Marsh", None, "Springfield Mayor", None, None), ("4", "Zeke", "Marsh", None, "Springfield Clerk", None, None), ("5", "Zebulonn", "Marsh", None, "Springfield Clerk", None, None)]
+    member, linked = variants.same_person(candidates(spark, rows))
+    got = {(r.id_1, r.id_2) for r in variants.pairs_of(member, linked).where("id_1 NOT LIKE 'f|%'").collect()}
+    assert got == {("3", "4"), ("3", "5"), ("4", "5")}
+    person = {r.unique_id: r.person for r in variants.persons_of(member, linked).collect()}
+    assert person["3"] == person["4"] == person["5"] != person["1"]
+
+
+def test_names_with_relatives_of_their_own_are_no_misspellings():
+    v = names.Vocabulary({"gabriel": 800, "gabriela": 40, "gabriell": 3, "gabe": 200, "gabby": 90, "gabrielle": 300}, {"gabriel": {"gabe"}, "gabe": {"gabriel", "gabriell"}, "gabriell": {"gabe"}, "gabriela": {"gabby", "gabrielle"}, "gabby": {"gabriela", "gabrielle"}, "gabrielle": {"gabby", "gabriela"}})
+    assert v.snap("gabriela") == ["gabriela"] and "gabriell" not in v.count and "gabriel" in v.snap("gabriell")
+
+
 def test_variants_of_nothing(spark):
     member, linked = variants.same_person(candidates(spark, []).limit(0))
     assert variants.pairs_of(member, linked).count() == 0
@@ -155,7 +186,9 @@ def random_members(n_ids, n_labels, seed):
 
 
 CHAIN = [(f"{i:03d}", f"l{j}") for i in range(70) for j in (i, i + 1)]
+DEEP = [(f"{i:04d}", f"l{j}") for i in range(100) for j in (i, i + 1)] + [("0050", f"x{i}") for i in range(5)] + [(f"y{i}", f"x{i}") for i in range(5)] + [("p", "q"), ("r", "q")]
 CASES = {
+    "giant a hundred deep": DEEP,
     "sorted chain, deeper than the frontiers": CHAIN,
     "hub and chain": CHAIN + [(f"h{i:02d}", "hub") for i in range(40)],
     "random, one giant": random_members(60, 60, 1),
@@ -172,6 +205,11 @@ def test_groups_against_union_find(spark, case):
     assert len(got) == len(set(got)) and set(got) == brute_groups(CASES[case])
 
 
+def test_a_deep_giant_is_peeled_whole(spark):
+    edges = components.spokes(spark.createDataFrame(DEEP, "id string, label string"))
+    assert {r.v for r in components.peel(edges).collect()} == {i for i, _ in DEEP} - {"p", "r"}
+
+
 def test_llm_queries_and_sql(spark, small):
     from tools import compare
 
