@@ -91,6 +91,13 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.actual_shares(sizes, rates)
 
 
+def p9_shortfalls(spark: SparkSession, d: str) -> DataFrame:
+    """The shares of a mix as large as the weighted sources are: small sources are used max_repeats times and fall short."""
+    sizes, weights = cut(_sizes(spark, d)), table(spark, d, "source_weights")
+    total = sizes.join(weights.where("target_weight > 0").select("source").distinct(), "source", "left_semi").agg(F.sum(F.col("n_tokens").cast("bigint"))).first()[0]
+    return mixing.actual_shares(sizes, cut(mixing.repetition_rates(sizes, weights, total or 0)))
+
+
 # ---- problem 10: visually identical text with different characters
 
 
@@ -117,7 +124,7 @@ def p10_canonical(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p1_found": p1_found, "p1_confidence": p1_confidence, "p1_members": p1_members, "p2_found": p2_found, "p2_persons": p2_persons, "p4_found": p4_found, "p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_members": p10_members, "p10_canonical": p10_canonical}
+    return {"p1_found": p1_found, "p1_confidence": p1_confidence, "p1_members": p1_members, "p2_found": p2_found, "p2_persons": p2_persons, "p4_found": p4_found, "p8_ids": p8_ids, "p8_decoded": p8_decoded, "p9_mix": p9_mix, "p9_shares": p9_shares, "p9_shortfalls": p9_shortfalls, "p10_found": p10_found, "p10_members": p10_members, "p10_canonical": p10_canonical}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -99,6 +99,17 @@ def test_shares_of_the_documents(spark, small):
     assert sum(r.target_share for r in got) == pytest.approx(1.0)
 
 
+def test_shares_at_a_given_total(spark, small):
+    s = sizes(spark, {"a": [100] * 4000, "b": [10] * 30, "c": [50] * 2000})
+    w = spark.createDataFrame([("a", 2.0, 1), ("b", 1.0, 3), ("c", 1.0, 2)], WEIGHTS)
+    got = {r.source: r for r in mixing.actual_shares(s, mixing.repetition_rates(s, w, total_tokens=400_000)).collect()}
+    assert got["b"].mixed_tokens == 900 and got["b"].most_repeats == 3  # falls short of 100,000
+    assert got["a"].mixed_tokens == pytest.approx(200_000, rel=0.05) and got["c"].mixed_tokens == pytest.approx(100_000, rel=0.05)
+    assert sum(r.actual_share for r in got.values()) == pytest.approx(1.0)
+    rows = queries.p9_shortfalls(spark, small).collect()
+    assert any(r.rate == r.max_repeats and (r.actual_share or 0) < r.target_share for r in rows)
+
+
 def test_empty_mix(spark):
     s = sizes(spark, {"a": [1]})
     w = spark.createDataFrame([("a", 1.0, 1)], WEIGHTS)
