@@ -95,8 +95,8 @@ def snap_to_frequent(words: DataFrame, radius: int = 2, times: int = 4) -> DataF
     ``words`` has grp, name and n. A word is a misspelling of the nearest, then most frequent, word within
     ``radius`` edits that is at least ``times`` as frequent.
     """
-    w = words.groupBy("grp", "name").agg(F.sum("n").alias("n"))
-    near = radius_join(w.where("name <> ''"), radius)
+    w = cut(words.groupBy("grp", "name").agg(F.sum("n").alias("n")))
+    near = cut(radius_join(w.where("name <> ''"), radius))
     both = near.unionByName(near.select("grp", F.col("name_b").alias("name_a"), F.col("name_a").alias("name_b"), "distance"))
     a, b = w.select("grp", F.col("name").alias("name_a"), F.col("n").alias("n_a")), w.select("grp", F.col("name").alias("name_b"), F.col("n").alias("n_b"))
     best = both.join(a, ["grp", "name_a"]).join(b, ["grp", "name_b"]).where(F.col("n_b") >= times * F.col("n_a")).groupBy("grp", F.col("name_a").alias("name")).agg(F.min(F.struct("distance", (-F.col("n_b")).alias("m"), "name_b")).getField("name_b").alias("to"))

@@ -111,7 +111,11 @@ def named_keys(side: DataFrame, s: str) -> DataFrame:
 
 
 def links(cls: DataFrame, near: DataFrame, cls_contacts: DataFrame, relations: DataFrame) -> DataFrame:
-    """a_cls, b_cls: classes that name one person."""
+    """a_cls, b_cls: classes that name one person.
+
+    Each kind of link is written on its own: as one plan they were planned anew, all of them, after every stage
+    of any, and that set the driver's memory.
+    """
     a, b = _sides(cls)
     level = given_level("a", "b")
     ka, kb = (named_keys(x, s) for x, s in ((a, "a"), (b, "b")))
@@ -121,28 +125,28 @@ def links(cls: DataFrame, near: DataFrame, cls_contacts: DataFrame, relations: D
     keep = ["a_cls", "b_cls", "a_n", "b_n", "a_initial", "b_initial", "a_key", "b_key", "a_full", "b_full", "distance", "level"]
     met = cut(met.withColumn("level", level).select(keep))
     rest = related_rest(met.where("level = 0"), cls, relations).withColumn("known", F.lit(2))
-    pairs = met.where("level > 0").unionByName(met.where("level = 0").join(rest, ["a_cls", "b_cls"]).withColumn("level", F.col("known")).drop("known"))
+    pairs = cut(met.where("level > 0").unionByName(met.where("level = 0").join(rest, ["a_cls", "b_cls"]).withColumn("level", F.col("known")).drop("known")))
     whole = F.col("a_full") & F.col("b_full")
     swapped = transposed(F.col("a_key"), F.col("b_key"))
     sure = (F.col("level") >= 2) & ((F.col("distance") <= 1) | swapped | (whole & (F.least("a_n", "b_n") <= F.greatest(F.lit(1), F.greatest("a_n", "b_n") / TIMES))))
     # initials alone: the named partners of a class must all be one name
     initial = pairs.where(whole & (F.col("level") == 1) & (F.col("distance") <= 1))
     one_way = lambda a, b: initial.where(f"{a}_initial").select(F.col(f"{a}_cls").alias("i"), F.col(f"{b}_cls").alias("p"))
-    both = one_way("a", "b").unionByName(one_way("b", "a")).join(cls.select(F.col("cls").alias("p"), F.col("wider").alias("b_wider")), "p")
-    named = cut(both.where(F.size("b_wider") > 0).select("i", "b_wider").distinct())
+    both = one_way("a", "b").unionByName(one_way("b", "a"))
+    named = cut(both.join(cls.select(F.col("cls").alias("p"), F.col("wider").alias("b_wider")), "p").where(F.size("b_wider") > 0).select("i", "b_wider").distinct())
     partners = named.groupBy("i").agg(F.count(F.lit(1)).alias("n"))
     common = named.select("i", F.explode(F.array_distinct("b_wider")).alias("w")).groupBy("i", "w").agg(F.count(F.lit(1)).alias("m"))
     one = common.join(partners, "i").where("m = n").select("i").distinct()  # a name that all partners can stand for
-    lone = both.join(one, "i").select(F.col("i").alias("a_cls"), F.col("p").alias("b_cls"))
+    lone = cut(both.join(one, "i").select(F.col("i").alias("a_cls"), F.col("p").alias("b_cls")))
     # the rest needs a shared contact
     ca, cb = cls_contacts.select(F.col("cls").alias("a_cls"), "contact"), cls_contacts.select(F.col("cls").alias("b_cls"), "contact")
-    told = pairs.where(~sure).select("a_cls", "b_cls").join(ca, "a_cls").join(cb, ["b_cls", "contact"]).select("a_cls", "b_cls")
+    told = cut(pairs.where(~sure).select("a_cls", "b_cls").join(ca, "a_cls").join(cb, ["b_cls", "contact"]).select("a_cls", "b_cls"))
     # without a place: by contact, or by name if the name occurs in one place of the state only
     lost = a.where("a_place = ''")
-    by_name = lost.join(b, (F.col("a_state") == F.col("b_state")) & (F.col("a_surname") == F.col("b_surname")) & (F.col("a_cls") != F.col("b_cls")) & (level >= 2)).select("a_cls", "b_cls", "b_place")
+    by_name = cut(lost.join(b, (F.col("a_state") == F.col("b_state")) & (F.col("a_surname") == F.col("b_surname")) & (F.col("a_cls") != F.col("b_cls")) & (level >= 2)).select("a_cls", "b_cls", "b_place"))
     single = by_name.groupBy("a_cls").agg(F.countDistinct(F.when(F.col("b_place") != "", F.col("b_place"))).alias("places")).where("places <= 1").select("a_cls")
     close = F.levenshtein("a_surname", "b_surname", RADIUS) >= 0
-    by_contact = (
+    by_contact = cut(
         lost.join(ca, "a_cls").join(b.join(cb, "b_cls"), "contact").where((F.col("a_cls") != F.col("b_cls")) & (F.col("a_state") == F.col("b_state")) & (close | F.array_contains("a_surname_parts", F.col("b_surname")) | F.array_contains("b_surname_parts", F.col("a_surname"))) & (level > 0)).select("a_cls", "b_cls")
     )
     all_ = pairs.where(sure).select("a_cls", "b_cls").unionByName(lone).unionByName(told).unionByName(by_name.join(single, "a_cls").select("a_cls", "b_cls")).unionByName(by_contact)

@@ -97,6 +97,24 @@ def test_variants(spark):
     assert got == {(a, b) for a in same for b in same if a < b}
 
 
+def test_links_are_planned_in_parts(spark, monkeypatch):
+    """A plan is made anew after each of its stages, so the driver's memory goes by the largest one."""
+    exchanges = {}
+
+    def noted(cut):
+        def run(df):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            exchanges[len(exchanges)] = plan.count("Exchange ")
+            return cut(df)
+
+        return run
+
+    monkeypatch.setattr(variants, "cut", noted(variants.cut))
+    monkeypatch.setattr(metric, "cut", noted(metric.cut))
+    variants.same_person(table(spark, "/root/testdata/sf0.001", "dummy_data"))
+    assert len(exchanges) > 15 and max(exchanges.values()) <= 10, exchanges
+
+
 def test_contact_of_one_person_under_many_spellings(spark):
     spelled = ["Stonewall", "Stonewal", "Stonwall", "Stonewell", "Stonewalll"]
     rows = [(str(i), "Robert", n, None, "Mayor of Springfield" if i else None, None, "5551234567") for i, n in enumerate(spelled)]
